@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import media
-from .util import table
+from . import media, simhash, toxicity
+from .util import held_out, table
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +14,20 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.decode_media(media.encode_media(docs, ["doc_id"]), ["doc_id", "n_bytes"])
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_media": op2_media,
+    "op8_simhash": op8_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
