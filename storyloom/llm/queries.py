@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, simhash, toxicity
+from . import language, media, mixing, sharding, simhash, toxicity
 from .util import held_out, table
 
 
@@ -14,6 +14,23 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.decode_media(media.encode_media(docs, ["doc_id"]), ["doc_id", "n_bytes"])
 
 
+def op4_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs), ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -27,6 +44,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_media": op2_media,
+    "op4_kdtree": op4_kdtree,
+    "op5_language": op5_language,
+    "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
     "op10_toxicity": op10_toxicity,
 }
