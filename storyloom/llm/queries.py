@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, media, mixing, sharding, simhash, toxicity
+from . import language, media, mixing, pieces, sharding, simhash, toxicity
 from .util import held_out, table
 
 
+#: The tokenizer's file; it is read where it lies and never copied here.
+PIECES_MODEL = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECES_MODEL, ["doc_id"])
+
+
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return media.decode_media(media.encode_media(docs, ["doc_id"]), ["doc_id", "n_bytes"])
@@ -43,6 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pieces": op1_pieces,
     "op2_media": op2_media,
     "op4_kdtree": op4_kdtree,
     "op5_language": op5_language,

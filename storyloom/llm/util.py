@@ -133,6 +133,11 @@ def map_batches(
     return src.mapInArrow(run, schema)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1 and so on, so that no name of theirs meets one of an operator."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def utf8(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets from 0) of a string array; null counts as empty."""
     a = pc.fill_null(a, "") if a.null_count else a
