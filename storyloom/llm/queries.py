@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, media, mixing, pieces, sharding, simhash, toxicity
+from . import collisions, language, media, mixing, pieces, sharding, simhash, toxicity
 from .util import held_out, table
 
 
@@ -41,6 +41,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.links(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_kdtree": op4_kdtree,
     "op5_language": op5_language,
     "op6_mixing": op6_mixing,
+    "op7_collisions": op7_collisions,
     "op8_simhash": op8_simhash,
     "op10_toxicity": op10_toxicity,
 }
