@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collisions, language, media, mixing, pieces, sharding, simhash, toxicity
+from . import collisions, language, licences, media, mixing, pieces, sharding, simhash, toxicity, urls
 from .util import held_out, table
 
 
@@ -24,6 +24,10 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.decode_media(media.encode_media(docs, ["doc_id"]), ["doc_id", "n_bytes"])
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op4_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
@@ -49,6 +53,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,11 +67,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op2_media": op2_media,
+    "op3_licences": op3_licences,
     "op4_kdtree": op4_kdtree,
     "op5_language": op5_language,
     "op6_mixing": op6_mixing,
     "op7_collisions": op7_collisions,
     "op8_simhash": op8_simhash,
+    "op9_urls": op9_urls,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
