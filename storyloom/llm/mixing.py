@@ -18,7 +18,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cuts import Cut, cuts, seeded
+from .cuts import Cut, cuts
 from .util import stored
 
 #: Weights of the sources in order, repeating; the mix's share of all words; most repetitions.
@@ -28,6 +28,12 @@ REPEATS = 2
 SEED = "mix-1"
 
 
+def seeded_order(id_col: Column, seed: str = SEED) -> Column:
+    """An even key below 2**60 from seed and id, the same in any SQL engine with MD5; a null id counts as empty."""
+    text = F.concat(F.lit(seed), F.coalesce(id_col.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def word_count(c: Column) -> Column:
     """Runs of characters other than ASCII white space; 0 for null."""
     marks = F.regexp_replace(c, r"[^\x20\x09-\x0D]+", "x")
@@ -176,7 +182,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     names = sorted(sums, key=lambda s: (s is None, s or ""))
     goal = targets([sums[s] for s in names]) if names else []
     quota = {s: int(t + 0.5) for s, t in zip(names, goal)}
-    got = mix(rows.withColumn("m", F.array("source_")), "m", "size_", seeded(F.lit(SEED), F.col("id_")), quota).drop("m")
+    got = mix(rows.withColumn("m", F.array("source_")), "m", "size_", seeded_order(F.col("id_")), quota).drop("m")
     facts = rows.sparkSession.createDataFrame([(s, sums[s], t) for s, t in zip(names, goal)], "s_ string, source_size long, target double")
     got = got.join(F.broadcast(facts), F.col("source_").eqNullSafe(F.col("s_")), "left")
     return got.select(F.col("id_").alias(id_col), *keep, F.col("source_").alias(source_col), F.col("size_").alias("size"), "source_size", "target", "taken")

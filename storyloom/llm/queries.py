@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collisions, language, licences, media, mixing, pieces, sharding, simhash, toxicity, urls
+from . import collisions, language, licences, media, mixing, oracle, pieces, sharding, simhash, toxicity, urls
 from .util import held_out, table
 
 
@@ -76,4 +76,5 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The other queries use trained models, XXH64, a tokenizer, a file format or a tree of medians: they are tested by brute force.
+ORACLE_SQL = oracle.ORACLE_SQL

@@ -89,7 +89,7 @@ def close(query: np.ndarray, base: np.ndarray, radius: int) -> tuple[np.ndarray,
     planes = np.packbits(bits, axis=1, bitorder="little").view("<u8")  # 64 bits by words of 64 fingerprints
     own = np.unpackbits(query.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").T
     masks = np.where(own == 1, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))  # 64 by queries
-    levels = int(radius).bit_length()
+    levels = max(1, int(radius).bit_length())
     out_q, out_b = [], []
     step = max(1, (1 << 16) // words)
     for at in range(0, len(query), step):
