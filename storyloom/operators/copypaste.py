@@ -28,6 +28,8 @@ def _blake2b_64(gram: str) -> int:
     return int.from_bytes(hashlib.blake2b(gram.encode(), digest_size=8).digest(), "little")
 
 
+#: Cells of a text's sketch.
+CELLS = 256
 HASHES = {"md5": (_md5_60, 60), "blake2b": (_blake2b_64, 64)}
 
 
@@ -57,18 +59,47 @@ def simhash(text: str, n: int, bits_of: dict[str, np.ndarray], hash_name: str =
     return out - (1 << 64) if out >> 63 else out
 
 
-def with_simhash(df: DataFrame, canon: str, n: int = 3, hash_name: str = "md5", name: str = "simhash") -> DataFrame:
-    """df plus the SimHash of its canonical text."""
+def sketch(text: str, n: int) -> np.ndarray:
+    """How many different n-grams of a canonical text fall into each of CELLS cells of a hash."""
+    if len(text) < n:
+        return np.zeros(CELLS, np.uint16)
+    cp = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    h = np.zeros(len(cp) - n + 1, np.uint64)
+    for k in range(n):
+        h = h * np.uint64(0x100000001B3) + cp[k : len(cp) - n + 1 + k] + np.uint64(1)
+    h = np.unique(h) * np.uint64(0x9E3779B97F4A7C15)
+    return np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=CELLS), 65535).astype(np.uint16)
+
+
+def with_simhash(df: DataFrame, canon: str, n: int = 3, hash_name: str = "md5", refine_n: int = 5) -> DataFrame:
+    """df plus simhash and sketch of its canonical text."""
 
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("simhash long, sketch binary")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known: dict[int, np.ndarray] = {}
         for texts in batches:
             if len(known) > 500_000:
                 known.clear()
-            yield pd.Series([simhash(t or "", n, known, hash_name) for t in texts], dtype="int64")
+            texts = [t or "" for t in texts]
+            yield pd.DataFrame({"simhash": np.array([simhash(t, n, known, hash_name) for t in texts], np.int64), "sketch": [sketch(t, refine_n).tobytes() for t in texts]})
+
+    return df.withColumn("s_", of(canon)).select("*", "s_.simhash", "s_.sketch").drop("s_")
+
+
+def jaccard_bound(a: str, b: str) -> Column:
+    """No less than the n-gram Jaccard of two texts, from their sketches: what two sets share in a cell is at most the smaller count.
 
-    return df.withColumn(name, of(canon))
+    (A cell that is full makes the bound 1.)
+    """
+
+    @F.pandas_udf("double")
+    def of(x: pd.Series, y: pd.Series) -> pd.Series:
+        p, q = (np.frombuffer(b"".join(v), np.uint16).reshape(-1, CELLS).astype(np.int64) for v in (x, y))
+        shared = np.minimum(p, q).sum(1)
+        full = (p == 65535).any(1) | (q == 65535).any(1)
+        return pd.Series(np.where(full, 1.0, shared / np.maximum(1, p.sum(1) + q.sum(1) - shared)))
+
+    return of(a, b)
 
 
 def canonical_udf(convert=None):
@@ -105,13 +136,15 @@ def bands(df: DataFrame, simhash: str = "simhash", count: int = 4) -> DataFrame:
 
 
 def classes(articles: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """(articles with ``cls``, distinct canonical texts as (cls, canon, simhash)); rows without a SimHash are left out.
+    """(articles with ``cls``, distinct canonical texts as (cls, canon, simhash, sketch)); rows without a SimHash are left out.
 
-    A class is named by the smallest id of its articles.
+    A class is named by the smallest id of its articles. The distinct texts with their hashes are kept
+    (in memory, else on disk; lost parts are made again), as every later step reads them.
     """
     own = articles.withColumn("canon", canonical(F.col("content")))
     texts = own.filter(F.length("canon") >= p.zh_dup_ngram).groupBy("canon").agg(F.min("id").alias("cls"))
-    return own.join(texts, "canon"), with_simhash(texts, "canon", p.zh_dup_ngram).filter("simhash != 0")
+    hashed = with_simhash(texts.repartition("cls"), "canon", p.zh_dup_ngram, refine_n=p.zh_dup_refine_n).filter("simhash != 0").persist()
+    return own.drop("content").join(hashed.select("canon", "cls"), "canon").drop("canon"), hashed
 
 
 def linked_classes(texts: DataFrame, p: Params = Params()) -> DataFrame:
@@ -121,6 +154,9 @@ def linked_classes(texts: DataFrame, p: Params = Params()) -> DataFrame:
     y = banded.select(F.col("cls").alias("b"), F.col("simhash").alias("hb"), "band", "bandkey")
     hamming = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
     near = x.join(y, ["band", "bandkey"]).filter((F.col("a") < F.col("b")) & (hamming <= p.zh_dup_max_hamming)).select("a", "b", hamming.alias("hamming")).distinct()
+    for side in ("a", "b"):
+        near = near.join(texts.select(F.col("cls").alias(side), F.col("sketch").alias(f"s{side}")), side)
+    near = near.filter(jaccard_bound("sa", "sb") >= p.zh_dup_min_j).drop("sa", "sb")
     near = near.join(texts.select(F.col("cls").alias("a"), F.col("canon").alias("ca")), "a").join(texts.select(F.col("cls").alias("b"), F.col("canon").alias("cb")), "b")
     near = near.withColumn("jaccard", gram_jaccard("ca", "cb", p.zh_dup_refine_n)).filter(F.col("jaccard") >= p.zh_dup_min_j).select("a", "b", "hamming", "jaccard")
     own = texts.filter(F.length("canon") >= 2 * p.zh_dup_refine_n).select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.lit(0).alias("hamming"), F.lit(1.0).alias("jaccard"))
