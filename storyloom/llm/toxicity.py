@@ -34,6 +34,8 @@ SAMPLE_BYTES = 6 << 20
 THRESHOLD = 0.3
 #: Bias at the end of training: a sentence without telling words hardly counts, however many a text has of them.
 QUIET = -12.0
+#: Weights above 0 but below this are dropped at the end: a common word that is often repeated must not add up to an offence.
+WEAK = 2.2
 
 #: Bytes of the stems.
 STEMS = (4, 5, 6)
@@ -133,11 +135,13 @@ def train(bags: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, ro
     dense[used] = np.arange(len(used), dtype=np.int32)
     column = dense[np.concatenate(bags)]
     size = np.array([len(b) for b in bags])
-    text = np.repeat(np.arange(len(bags)), size)
+    text = np.repeat(np.arange(len(bags), dtype=np.int32), size)
     s = np.concatenate(sentences)
+    del bags, sentences, dense
     at = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (text[1:] != text[:-1])]))
     length = np.diff(np.append(at, len(s)))
     text_of = text[at]
+    del text, s
     w, bias = np.zeros(len(used) + 1), -np.log(2 * np.bincount(text_of).mean() / max(y.mean(), 1e-3))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
@@ -158,7 +162,7 @@ def train(bags: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, ro
         else:
             bias -= max(0.0, bias - QUIET) / max(1, rounds * 0.9 - step) if step < rounds * 0.9 else bias - min(bias, QUIET)
     weights = np.zeros(NONE + 1, np.float32)
-    weights[used] = w[:-1]
+    weights[used] = np.where((w[:-1] > 0) & (w[:-1] < WEAK), 0, w[:-1])
     return Model(weights, float(bias))
 
 
@@ -191,8 +195,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     got = rows.mapInArrow(run, "y int, draw double, id string, slot array<int>, sentence array<int>").toArrow()
     got = got.sort_by([("draw", "ascending"), ("id", "ascending")])
-    y = got.column("y").to_numpy()
-    return train(_lists(got.column("slot")), _lists(got.column("sentence")), y)
+    y, bags, sentences = got.column("y").to_numpy(), _lists(got.column("slot")), _lists(got.column("sentence"))
+    del got
+    return train(bags, sentences, y)
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
