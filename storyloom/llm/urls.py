@@ -6,9 +6,9 @@ proportion to the number of different characters that followed the context. A UR
 difference of the two log-likelihoods a character; it is allowed from the threshold on that parts a
 held-back fifth of the ruled URLs best.
 
-Counts cover all ruled URLs. Contexts and continuations seen fewer than (all characters / KEPT)
-times are left to the lower orders, so that the models which are sent to the workers have a bounded
-size. A null URL, or one without ``://``, has an empty host and path, which is text to the models
+Counts cover all ruled URLs, and all counts are kept, at every size. They stay distributed: pages are
+read in batches of about TOGETHER characters, and each batch is joined to the counts of the contexts
+that occur in it, so that no worker holds a whole model. A null URL, or one without ``://``, has an empty host and path, which is text to the models
 like any other. If a class has no URL, everything without a rule is allowed.
 """
 
@@ -19,10 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .util import ascii_lower, map_batches, small_batches, utf8
+from .util import ascii_lower, map_batches, small_batches, stored, utf8
 
 #: Fixed values: (verdict, host, path). A rule fits its host and all below it, and paths that begin with its own.
 RULES = (
@@ -32,9 +35,9 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Longest context; characters of training text for each count that is kept.
+#: Longest context; characters that are counted or scored at a time.
 ORDER = 5
-KEPT = 1 << 19
+TOGETHER = 1 << 18
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -82,7 +85,7 @@ def grams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 @dataclass
 class Model:
-    """Sorted keys with counts of continuations; of contexts with their counts and numbers of continuations."""
+    """Of some contexts: sorted keys with counts of continuations; of contexts with their counts and numbers of continuations."""
 
     gram: np.ndarray
     gram_n: np.ndarray
@@ -106,56 +109,100 @@ def _found(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarr
     return np.where(keys[at] == wanted, values[at], 0).astype(float)
 
 
-def train(texts: DataFrame) -> dict[str, Model]:
-    """``texts``: text and verdict. One model for each verdict; no model where a verdict has no text."""
+@dataclass
+class Counts:
+    """All counts of a verdict, distributed: each context with its continuations and how often each verdict has them."""
+
+    frame: DataFrame
+    verdict: str
+
+    def log_likelihood(self, contexts: np.ndarray, nexts: np.ndarray) -> np.ndarray:
+        """Of a few characters; pages are scored by ``score``."""
+        wanted = self.frame.sparkSession.createDataFrame([(int(c),) for c in np.unique(contexts).view(np.int64)], "context long")
+        return _model(self.frame.join(wanted, "context").select("context", "nexts").toArrow(), self.verdict).log_likelihood(contexts, nexts)
+
+
+def _model(found: pa.Table, verdict: str) -> Model:
+    lists = found.column("nexts").combine_chunks()
+    of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+    each = lists.flatten()
+    n = each.field(verdict).to_numpy()
+    seen = n > 0
+    keys = each.field("gram").to_numpy().view(np.uint64)[seen], found.column("context").to_numpy().view(np.uint64)
+    by = [np.argsort(k) for k in keys]
+    counts = np.bincount(of, n, len(lists)), np.bincount(of[seen], minlength=len(lists))
+    return Model(keys[0][by[0]], n[seen][by[0]], keys[1][by[1]], counts[0][by[1]], counts[1][by[1]])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of some batches with about TOGETHER characters of ``text``."""
+    waiting, size = [], 0
+    for b in batches:
+        waiting.append(b)
+        size += (pc.sum(pc.binary_length(b.column("text"))).as_py() or 0) + b.num_rows
+        if size >= TOGETHER:
+            yield pa.Table.from_batches(waiting).combine_chunks()
+            waiting, size = [], 0
+    if size:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def train(texts: DataFrame) -> dict[str, Counts]:
+    """``texts``: text and verdict. The counts of each verdict; none where a verdict has no text."""
     small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, off = utf8(b.column(0))
-            contexts, nexts, row = grams(raw, off)
-            blocked = np.array([v == "block" for v in b.column(1).to_pylist()], bool)[row]
-            for kind, chosen in (("allow", ~blocked), ("block", blocked)):
-                key, first, n = np.unique(nexts[:, chosen].ravel(), return_index=True, return_counts=True)
-                context = contexts[:, chosen].ravel()[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(key), pa.string()), pa.array(context.view(np.int64)), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))],
-                    names=["verdict", "context", "gram", "n"],
-                )
-
-    counted = texts.select("text", "verdict").mapInArrow(run, "verdict string, context long, gram long, n long")
-    counted = counted.groupBy("verdict", "context", "gram").agg(F.sum("n").alias("n"))
-    contexts = counted.groupBy("verdict", "context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
-    total = texts.groupBy("verdict").agg(F.sum(F.octet_length("text") + 1).alias("n")).collect()
-    least = {r.verdict: max(1, r.n // KEPT) for r in total}
-    out = {}
-    for verdict, m in least.items():
-        mine = (F.col("verdict") == verdict) & (F.col("n") >= m)
-        g = counted.filter(mine).select("gram", "n").toArrow()
-        c = contexts.filter(mine).select("context", "n", "kinds").toArrow()
-        keys = [x.column(0).to_numpy().view(np.uint64) for x in (g, c)]
-        by = [np.argsort(k) for k in keys]
-        out[verdict] = Model(keys[0][by[0]], g.column(1).to_numpy()[by[0]], keys[1][by[1]], c.column(1).to_numpy()[by[1]], c.column(2).to_numpy()[by[1]])
-    return out
-
-
-def score(df: DataFrame, models: dict[str, Model], keep: list[str], text_col: str) -> DataFrame:
-    """``keep`` plus ratio: (log-likelihood as allowed - as blocked) / characters; 0 without both models."""
-    shared = df.sparkSession.sparkContext.broadcast(models)
+        for t in _gathered(batches):
+            contexts, nexts, row = grams(*utf8(t.column("text").chunk(0)))
+            blocked = pc.equal(t.column("verdict"), "block").to_numpy()[row]
+            key, first, of, n = np.unique(nexts.ravel(), return_index=True, return_inverse=True, return_counts=True)
+            block = np.bincount(of.ravel(), np.tile(blocked, ORDER + 1), len(key)).astype(np.int64)
+            found = [contexts.ravel()[first].view(np.int64), key.view(np.int64), n - block, block]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["context", "gram", "allow", "block"])
+
+    verdicts = [r.verdict for r in texts.select("verdict").distinct().collect()]
+    counted = texts.select("text", "verdict").mapInArrow(run, "context long, gram long, allow long, block long")
+    counted = counted.groupBy("context", "gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    frame = counted.groupBy("context").agg(F.collect_list(F.struct("gram", "allow", "block")).alias("nexts"))
+    return {v: Counts(frame, v) for v in verdicts}
+
+
+def batched(df: DataFrame) -> DataFrame:
+    """df and batch: rows with about TOGETHER characters of host and path. It must be stored before it is read twice."""
 
     def run(batches: Iterator[list[pa.Array]]) -> Iterator[list[pa.Array]]:
-        m = shared.value
-        for (texts,) in batches:
-            raw, off = utf8(texts)
-            n = len(off) - 1
-            if len(m) < 2:
-                yield [pa.array(np.zeros(n))]
-                continue
-            contexts, nexts, row = grams(raw, off)
-            diff = m["allow"].log_likelihood(contexts, nexts) - m["block"].log_likelihood(contexts, nexts)
-            yield [pa.array(np.bincount(row, diff, n) / np.bincount(row, minlength=n))]
+        own, end = TaskContext.get().partitionId() << 40, 0
+        for texts in batches:
+            ends = end + np.cumsum(sum(np.diff(utf8(x)[1]) for x in texts) + 1)
+            end = int(ends[-1])
+            yield [pa.array(own + ends // TOGETHER)]
+
+    return map_batches(df, df.columns, ["host", "path"], "batch long", run)
+
+
+def score(pages: DataFrame, models: dict[str, Counts]) -> DataFrame:
+    """``pages``, stored with batch, plus ratio: (log-likelihood as allowed - as blocked) / characters. Needs both models."""
+    small_batches(pages.sparkSession)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _gathered(batches):
+            contexts, _, row = grams(*utf8(t.column("text").chunk(0)))
+            batch = t.column("batch").to_numpy()
+            for b in np.unique(batch):
+                keys = np.unique(contexts[:, (batch == b)[row]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys.view(np.int64))], names=["batch", "context"])
+
+    def run(mine: pa.Table, found: pa.Table) -> pa.Table:
+        mine = mine.combine_chunks()
+        texts = pc.binary_join_element_wise(mine.column("host"), mine.column("path"), "").combine_chunks()
+        contexts, nexts, row = grams(*utf8(texts))
+        diff = _model(found, "allow").log_likelihood(contexts, nexts) - _model(found, "block").log_likelihood(contexts, nexts)
+        return mine.append_column("ratio", pa.array(np.bincount(row, diff, len(mine)) / np.bincount(row, minlength=len(mine))))
 
-    return map_batches(df, keep, [text_col], "ratio double", run)
+    keys = pages.select("batch", F.concat("host", "path").alias("text")).mapInArrow(wanted, "batch long, context long")
+    found = keys.join(models["allow"].frame, "context").select("batch", "context", "nexts")
+    schema = T.StructType([*pages.schema.fields, T.StructField("ratio", T.DoubleType())])
+    return pages.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(run, schema)
 
 
 def threshold(scored: DataFrame) -> float:
@@ -183,10 +230,13 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataF
     host, path = parts(F.col(url_col))
     pages = df.select(F.col(id_col).alias("id_"), host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"))
-    pages = pages.withColumns({"rule": rule, "ruled_": verdict, "text_": F.concat("host", "path")})
-    known = pages.filter("ruled_ is not null").select(F.col("text_").alias("text"), F.col("ruled_").alias("verdict"), (F.crc32(F.coalesce(F.col("id_").cast("string"), F.lit("")).cast("binary")) % 5 == 0).alias("held"))
-    models = train(known.filter("not held"))
-    line = threshold(score(known.filter("held"), models, ["verdict"], "text")) if len(models) == 2 else 0.0
-    out = score(pages, models, ["id_", "host", "path", "rule", "ruled_"], "text_")
-    found = F.when(F.col("ratio") >= line, "allow").otherwise("block") if len(models) == 2 else F.lit("allow")
+    held = F.crc32(F.coalesce(F.col("id_").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    pages = stored(batched(pages.withColumns({"rule": rule, "ruled_": verdict, "held": held})))
+    models = train(pages.filter("ruled_ is not null and not held").select(F.concat("host", "path").alias("text"), F.col("ruled_").alias("verdict")))
+    if len(models) == 2:
+        out = stored(score(pages, models), pages)
+        line = threshold(out.filter("ruled_ is not null and held").withColumn("verdict", F.col("ruled_")))
+        found = F.when(F.col("ratio") >= line, "allow").otherwise("block")
+    else:
+        out, found = pages.withColumn("ratio", F.lit(0.0)), F.lit("allow")
     return out.select(F.col("id_").alias(id_col), "host", "path", "rule", F.coalesce("ruled_", found).alias("verdict"), "ratio")

@@ -418,6 +418,15 @@ def test_url_models_against_plain_counts(spark):
     assert np.allclose(model.log_likelihood(contexts, nexts), want)
 
 
+def test_url_models_keep_rare_contexts_of_large_inputs(spark):
+    """Over 2^21 characters: what was seen once still counts."""
+    common = spark.range(100_000).select(F.lit("abcdefghijklmnopqrst").alias("text"), F.lit("allow").alias("verdict"))
+    df = common.union(spark.createDataFrame([("xyz", "allow")], "text string, verdict string"))
+    contexts, nexts, _ = urls.grams(np.frombuffer(b"xyz", np.uint8), np.array([0, 3]))
+    got = urls.train(df)["allow"].log_likelihood(contexts, nexts)
+    assert (got[1:] > math.log(0.96)).all()  # five orders above the lowest have seen each continuation once
+
+
 # 10
 
 
