@@ -439,6 +439,24 @@ def test_toxic_words_and_sentences():
     assert (again[1] == slots[0]).all()
 
 
+def test_toxic_evidence_spread_over_several_words():
+    rng = random.Random(3)
+    filler = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200)]
+    texts = []
+    for i in range(300):
+        said = [" ".join(rng.choice(filler) for _ in range(8)) for _ in range(6)]
+        if i % 5 == 0:
+            said[rng.randrange(6)] += " vilest nastyones wickedest"
+        texts.append(". ".join(said).encode())
+    found = [toxicity.words(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]
+    some = [slot != toxicity.NONE for slot, *_ in found]
+    y = np.array([i % 5 == 0 for i in range(300)], int)
+    model = toxicity.train([slot[k] for (slot, *_), k in zip(found, some)], [np.repeat(sentence, k.sum(1)) for (*_, sentence), k in zip(found, some)], y)
+    off = np.cumsum([0, *map(len, texts)])
+    got = toxicity.score_texts(model, np.frombuffer(b"".join(texts), np.uint8), off)
+    assert ((got >= toxicity.THRESHOLD) == (y > 0)).all()
+
+
 def test_toxicity(spark, odd, empty):
     rng = random.Random(2)
     filler = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200)]
