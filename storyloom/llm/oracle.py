@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from .licences import BASE, INDEXED, TEMPLATES
-from .mixing import REPEATS, SEED, SHARE, WEIGHTS
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,22 +41,6 @@ def _licences() -> str:
  FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)"""
 
 
-def _mixing() -> str:
-    weight = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
-    # Sources in the order in which they would reach their limit: those before the level are at it.
-    return rf"""WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
- s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
- w AS (SELECT *, CASE place % {len(WEIGHTS)} {weight} END AS weight FROM s),
- o AS (SELECT *, {REPEATS} * source_size AS cap, sum({REPEATS} * source_size) OVER v - {REPEATS} * source_size AS before, sum(weight) OVER (ORDER BY {REPEATS} * source_size / weight DESC, place DESC) AS rest
-   FROM w WINDOW v AS (ORDER BY {REPEATS} * source_size / weight, place)),
- level AS (SELECT num, rest AS den FROM (SELECT *, CAST({SHARE} * (SELECT sum(source_size) FROM s) AS DOUBLE) - before AS num FROM o) WHERE cap * rest >= num * weight ORDER BY cap / weight, place LIMIT 1),
- t AS (SELECT *, CASE WHEN cap * den < num * weight THEN CAST(cap AS DOUBLE) ELSE num * weight / den END AS target FROM o, level),
- goal AS (SELECT source, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS words FROM t),
- k AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS whole, CASE WHEN source_size > 0 THEN words % source_size ELSE 0 END AS part,
-   sum(size) OVER (PARTITION BY d.source ORDER BY ('0x' || substr(md5('{SEED}' || doc_id), 1, 15))::BIGINT, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source)
- SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, part - before)) AS BIGINT) AS taken FROM k"""
-
-
 def _collisions() -> str:
     return """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
  unit AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
@@ -67,4 +50,4 @@ def _collisions() -> str:
  SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept FROM v LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id"""
 
 
-ORACLE_SQL = {"op3_licences": _licences(), "op6_mixing": _mixing(), "op7_collisions": _collisions()}
+ORACLE_SQL = {"op3_licences": _licences(), "op7_collisions": _collisions()}
