@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import held_out, in_pieces, map_batches, small_batches, utf8
+from .util import held_out, in_one_task, in_pieces, map_batches, small_batches, utf8
 
 #: log2 of the size of the feature table.
-TABLE_BITS = 13
+TABLE_BITS = 15
 SIZE = 1 << TABLE_BITS
+#: Characters of the longest n-gram.
+LONGEST = 3
 #: The regression is fitted on at most about this many rows of all languages together, drawn by a hash of the id.
 SAMPLE_ROWS = 6000
 #: ... and this many bytes of their text.
@@ -71,33 +73,26 @@ def characters(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, at, any_letter
 
 
-def counts(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x SIZE counts, does each text hold a letter)."""
+def counts(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams that occur: (text, slot, how often), sorted by text and slot; and for each text whether it holds a letter."""
     cp, at, any_letter = characters(raw, off)
-    n = len(off) - 1
-    row = np.repeat(np.arange(n, dtype=np.int64) * SIZE, np.diff(at))
-    c = cp.astype(np.uint64)
-    total = np.zeros(n * SIZE, np.int64)
-    h = np.zeros(len(c), np.uint64)
-    for k in range(3):
-        if len(c) <= k:
-            break
+    row = np.repeat(np.arange(len(off) - 1, dtype=np.int64) << TABLE_BITS, np.diff(at))
+    c, h, found = cp.astype(np.uint64), np.zeros(len(cp), np.uint64), []
+    for k in range(min(LONGEST, len(c))):
         h = h[: len(c) - k] * np.uint64(0x100000001B3) + c[k:] + np.uint64(1)
         slot = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        where = row[: len(slot)] + slot
-        if k:  # drop those that run into the next text
-            ok = row[: len(slot)] == row[k:]
-            where = where[ok]
-        total += np.bincount(where, minlength=n * SIZE)
-    return total.reshape(n, SIZE), any_letter
+        here = row[: len(slot)]
+        found.append((here | slot)[here == row[k:]])  # without those that run into the next text
+    keys = np.sort(np.concatenate(found)) if found else row
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
+    return keys[first] >> TABLE_BITS, keys[first] & SIZE - 1, np.diff(np.append(first, len(keys))), any_letter
 
 
-def weighted(tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, value) of the TF-IDF features, rows scaled to length 1."""
-    row, col = np.nonzero(tf)
-    value = (1 + np.log(tf[row, col])).astype(np.float32) * idf[col]
-    norm = np.sqrt(np.bincount(row, value.astype(np.float64) ** 2, len(tf)))
-    return row, col, value / np.maximum(norm, 1e-12)[row]
+def weighted(row: np.ndarray, slot: np.ndarray, n: np.ndarray, idf: np.ndarray, texts: int) -> np.ndarray:
+    """The TF-IDF values of n-grams, each text's scaled to length 1."""
+    value = (1 + np.log(n)) * idf[slot]
+    norm = np.sqrt(np.bincount(row, value * value, texts))
+    return value / np.maximum(norm, 1e-12)[row]
 
 
 @dataclass
@@ -108,12 +103,9 @@ class Model:
     idf: np.ndarray | None = None
     temperature: float = 1.0
 
-    def logits(self, tf: np.ndarray) -> np.ndarray:
-        row, col, value = weighted(tf, self.idf)
-        out = np.empty((len(tf), len(self.languages)))
-        for k in range(len(self.languages)):
-            out[:, k] = np.bincount(row, value * self.weights[col, k], len(tf)) + self.bias[k]
-        return out
+    def logits(self, row: np.ndarray, slot: np.ndarray, n: np.ndarray, texts: int) -> np.ndarray:
+        value = weighted(row, slot, n, self.idf, texts)
+        return np.stack([np.bincount(row, value * self.weights[slot, k], texts) + self.bias[k] for k in range(len(self.languages))], 1)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -146,7 +138,11 @@ def ftrl(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, rounds:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from rows that are not held out and have a language."""
+    """Learns from rows that are not held out and have a language.
+
+    Document frequencies cover all of them; the regression is trained on the sample in one task of an
+    executor, and its weights other than 0 come back.
+    """
     small_batches(docs.sparkSession)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).select(
@@ -162,41 +158,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     shares = F.create_map(*[F.lit(x) for l in languages for x in (l, share[l])])
     chosen = rows.filter(F.col("d") < F.element_at(shares, F.col("l"))).select("l", "d", "i", "t")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, off = utf8(b.column(3))
-            cols, values, length = [], [], []
+    def learn(sample: pa.Table) -> pa.RecordBatch:
+        sample = sample.sort_by([("d", "ascending"), ("i", "ascending"), ("t", "ascending")])
+        number = {l: i for i, l in enumerate(languages)}
+        y, x = np.array([number[l] for l in sample.column("l").to_pylist()], int), []
+        for part in sample.column("t").chunks:
+            raw, off = utf8(part)
             for i, j in in_pieces(off, _PIECE):
-                tf, _ = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
-                row, col = np.nonzero(tf)
-                cols.append(col.astype(np.int32))
-                values.append(tf[row, col].astype(np.int32))
-                length.append(np.bincount(row, minlength=j - i))
-            cut = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(length))]), pa.int32())
-            lists = [pa.ListArray.from_arrays(cut, pa.array(np.concatenate(x))) for x in (cols, values)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *lists], names=["l", "d", "i", "cols", "tf"])
-
-    got = chosen.mapInArrow(run, "l string, d double, i string, cols array<int>, tf array<int>").toArrow().sort_by([("d", "ascending"), ("i", "ascending")])
-    number = {l: i for i, l in enumerate(languages)}
-    y = np.array([number[l] for l in got.column("l").to_pylist()], int)
-    x = []
-    for cols, tf in zip(_lists(got.column("cols")), _lists(got.column("tf"))):
-        v = (1 + np.log(tf)) * idf[cols]
-        v = v / max(np.sqrt((v * v).sum()), 1e-12)
-        x.append((np.append(cols, SIZE), np.append(v, 1.0)))
-    held = np.arange(len(x)) % 5 == 4 if len(x) >= 20 else np.zeros(len(x), bool)
-    w, bias = ftrl([a for a, h in zip(x, held) if not h], y[~held], len(languages))
-    model = Model(languages, w.astype(np.float32), bias, idf)
-    if held.any():
-        z = np.stack([v[:-1] @ w[c[:-1]] + bias for (c, v), h in zip(x, held) if h])
-        model.temperature = calibrate(z, y[held])
-    return model
-
-
-def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
-    a = column.combine_chunks()
-    off, values = a.offsets.to_numpy(), a.values.to_numpy()
-    return [values[off[i] : off[i + 1]] for i in range(len(a))]
+                row, slot, n, _ = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                value = weighted(row, slot, n, idf, j - i)
+                cut = np.searchsorted(row, np.arange(j - i + 1))
+                x += [(np.append(slot[a:b], SIZE), np.append(value[a:b], 1.0)) for a, b in zip(cut[:-1], cut[1:])]
+        held = np.arange(len(x)) % 5 == 4 if len(x) >= 20 else np.zeros(len(x), bool)
+        w, bias = ftrl([a for a, h in zip(x, held) if not h], y[~held], len(languages))
+        slot, k = np.nonzero(w)
+        t = calibrate(np.stack([v[:-1] @ w[c[:-1]] + bias for (c, v), h in zip(x, held) if h]), y[held]) if held.any() else 1.0
+        many = np.arange(len(languages))
+        found = np.concatenate([slot, many * 0 + SIZE, [SIZE + 1]]), np.concatenate([k, many, [0]]), np.concatenate([w[slot, k], bias, [t]])
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.array(found[2])], names=["slot", "k", "w"])
+
+    slot, k, w = (c.to_numpy() for c in in_one_task(chosen, "slot long, k long, w double", learn).columns)
+    if not len(slot):
+        return Model()
+    dense = np.zeros((SIZE + 2, len(languages)))
+    dense[slot, k] = w
+    return Model(languages, dense[:SIZE].astype(np.float32), dense[SIZE], idf, float(dense[SIZE + 1, 0]))
 
 
 def calibrate(z: np.ndarray, y: np.ndarray) -> float:
@@ -214,8 +200,8 @@ def _idf(rows: DataFrame, n: int) -> np.ndarray:
         for b in batches:
             raw, off = utf8(b.column(0))
             for i, j in in_pieces(off, _PIECE):
-                tf, _ = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
-                total += np.count_nonzero(tf, 0)
+                _, slot, _, _ = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                total += np.bincount(slot, minlength=SIZE)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], names=["slot", "n"])
 
@@ -228,10 +214,10 @@ def _idf(rows: DataFrame, n: int) -> np.ndarray:
 def predict_texts(model: Model, raw: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
     names, scores = [UNKNOWN] * (len(off) - 1), np.zeros(len(off) - 1)
     for i, j in in_pieces(off, _PIECE):
-        tf, letters = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
         if not model.languages:
             continue
-        p = softmax(model.logits(tf) / model.temperature)
+        *found, letters = counts(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+        p = softmax(model.logits(*found, j - i) / model.temperature)
         best = p.argmax(1)
         for k in np.flatnonzero(letters):
             names[i + k], scores[i + k] = model.languages[best[k]], p[k, best[k]]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import collisions, language, licences, media, mixing, oracle, pieces, sharding, simhash, toxicity, urls
-from .util import held_out, table
+from .util import held_out, stored, table
 
 
 #: The tokenizer's file; it is read where it lies and never copied here.
@@ -20,8 +20,8 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return media.decode_media(media.encode_media(docs, ["doc_id"]), ["doc_id", "n_bytes"])
+    files = stored(media.encode_media(table(spark, sf_dir, "documents"), ["doc_id"]), compression="zstd")
+    return media.decode_media(files, ["doc_id", "n_bytes"])
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, ["doc_id"])
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
 
 
 QUERIES = {

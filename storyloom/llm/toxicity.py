@@ -6,7 +6,7 @@ the weights are fitted to them by maximum likelihood with an L1 penalty, and the
 sentences offend.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. A word's weight is
-that of the word itself plus those of its stems, its first 4, 5 and 6 bytes; words and stems are
+that of the word itself plus those of its stems, its first 3 to 6 bytes; words and stems are
 hashed into a table of fixed size. Sentences end at ``. ! ?`` or a line break. A text without words (null, empty) has score 0.
 A row without a label, or with a null id, teaches nothing. Without any label of either kind all
 scores are 0.
@@ -19,11 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import held_out, in_pieces, map_batches, small_batches, utf8
+from .util import held_out, in_one_task, in_pieces, map_batches, small_batches, utf8
 
 #: log2 of the size of the table of word weights.
 TABLE_BITS = 18
@@ -32,11 +31,15 @@ SAMPLE_PER_LABEL = 2500
 #: Bytes of text of the sample of each label; of longer texts fewer are drawn.
 SAMPLE_BYTES = 6 << 20
 THRESHOLD = 0.3
-#: Bias at the end of training: a sentence without telling words hardly counts, however many a text has of them.
-QUIET = -12.0
+#: A sentence's log-odds without telling words: ten thousand of them leave a text below the threshold.
+QUIET = -11.0
+#: Penalty of a weight, in texts.
+L1 = 0.2
+#: Probability from which on a sentence offends.
+LEAST = 0.5
 
 #: Bytes of the stems.
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6)
 #: The slot that stands for no stem; its weight is 0.
 NONE = 1 << TABLE_BITS
 
@@ -101,25 +104,31 @@ class Model:
 
 
 def score_texts(model: Model | None, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(off) - 1)
-    if model is None:
-        return out
-    for i, j in in_pieces(off, _PIECE):
+    return read(model, raw, off, 1.0)[0]
+
+
+def read(model: Model | None, raw: np.ndarray, off: np.ndarray, least: float = LEAST) -> tuple[np.ndarray, ...]:
+    """Scores, and of the sentences whose own probability is ``least`` or more: text, start and end (in its bytes), probability."""
+    out, found = np.zeros(len(off) - 1), [(np.zeros(0, np.int64),) * 3 + (np.zeros(0),)]
+    for i, j in in_pieces(off, _PIECE) if model is not None else ():
         o = off[i : j + 1] - off[i]
-        slot, start, _, sentence = words(raw[off[i] : off[j]], o)
+        slot, start, end, sentence = words(raw[off[i] : off[j]], o)
         if len(slot):
             at, clean = model.sentences(slot, sentence)
             text = np.searchsorted(o, start[at], "right") - 1
             out[i:j] = -np.expm1(np.bincount(text, clean, j - i))
-    return out
+            k = np.flatnonzero(-np.expm1(clean) >= least)
+            last = np.append(at[1:], len(slot))[k] - 1
+            found.append((text[k] + i, start[at[k]] - o[text[k]], end[last] - o[text[k]], -np.expm1(clean[k])))
+    return out, *(np.concatenate(x) for x in zip(*found))
 
 
-def train(bags: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, rounds: int = 240, l1: float = 1.0, rate: float = 0.15) -> Model | None:
+def train(bags: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, rounds: int = 240, l1: float = L1, rate: float = 0.15) -> Model | None:
     """Full-gradient fit of the noisy-or likelihood, texts of both labels weighing as they occur.
 
     bags: slots of a text's words and stems; sentences: their sentence numbers. Those found in fewer than three
-    texts keep the weight 0. Adam steps, then soft thresholding by a penalty that rises to l1 (in texts).
-    The bias is learned at first, then brought down to QUIET while the weights follow.
+    texts keep the weight 0. Adam steps, each followed by soft thresholding with a penalty that rises to l1 (in
+    texts). The bias is QUIET throughout.
     """
     if not len(y) or y.min() == y.max():
         return None
@@ -127,48 +136,51 @@ def train(bags: list[np.ndarray], sentences: list[np.ndarray], y: np.ndarray, ro
     bags, sentences, y = [bags[i] for i in keep], [sentences[i] for i in keep], y[keep].astype(float)
     if not len(y):
         return None
-    texts_of = np.bincount(np.concatenate([np.unique(b) for b in bags]), minlength=NONE + 1)
+    texts_of = np.zeros(NONE + 1, np.int32)
+    for b in bags:
+        texts_of[np.unique(b)] += 1
     used = np.flatnonzero(texts_of[:NONE] >= 3)
-    dense = np.full(NONE + 1, len(used), np.int32)
+    dense = np.full(NONE + 1, -1, np.int32)
     dense[used] = np.arange(len(used), dtype=np.int32)
-    column = dense[np.concatenate(bags)]
-    size = np.array([len(b) for b in bags])
-    text = np.repeat(np.arange(len(bags), dtype=np.int32), size)
-    s = np.concatenate(sentences)
+    column, sentence, text_of, n = [], [], [], 0
+    for t, (b, s) in enumerate(zip(bags, sentences)):
+        number = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
+        c = dense[b]
+        column.append(c[c >= 0])
+        sentence.append((number[c >= 0] + n).astype(np.int32))
+        n += int(number[-1]) + 1
+        text_of.append(np.full(int(number[-1]) + 1, t, np.int32))
     del bags, sentences, dense
-    at = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (text[1:] != text[:-1])]))
-    length = np.diff(np.append(at, len(s)))
-    text_of = text[at]
-    del text, s
-    w, bias = np.zeros(len(used) + 1), -np.log(2 * np.bincount(text_of).mean() / max(y.mean(), 1e-3))
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    column, sentence, text_of = np.concatenate(column), np.concatenate(sentence), np.concatenate(text_of)
+    w = np.zeros(len(used))
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        z = np.clip(np.add.reduceat(w[column], at) + bias, -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        clean = np.exp(np.bincount(text_of, -np.logaddexp(0, z), len(y)))
-        pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0)[text_of] * p  # of the loss, by each sentence's z
-        g, gb = np.bincount(column, np.repeat(pull, length), len(w)), pull.sum()
+        z = np.clip(np.bincount(sentence, w[column], n) + QUIET, -30, 30)
+        clean, g = slope(z, text_of, y)
+        g = np.bincount(column, g[sentence], len(w))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix1, fix2 = 1 - 0.9**step, 1 - 0.99**step
         scale = np.sqrt(v / fix2) + 0.01
         w -= rate * (m / fix1) / scale
         w = np.sign(w) * np.maximum(0, np.abs(w) - rate * l1 * min(1.0, 0.05 + step / (0.6 * rounds)) / scale)
-        w[-1] = 0
-        if step <= rounds // 2:
-            bias -= 0.2 * rate * (mb / fix1) / (np.sqrt(vb / fix2) + 0.01)
-        else:
-            bias -= max(0.0, bias - QUIET) / max(1, rounds * 0.9 - step) if step < rounds * 0.9 else bias - min(bias, QUIET)
     weights = np.zeros(NONE + 1, np.float32)
-    weights[used] = w[:-1]
-    return Model(weights, float(bias))
+    weights[used] = w
+    return Model(weights, QUIET)
+
+
+def slope(z: np.ndarray, text_of: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sentences' log-odds: the chance of each text that no sentence offends, and the loss's derivative by each z."""
+    p = 1 / (1 + np.exp(-z))
+    clean = np.exp(np.bincount(text_of, -np.logaddexp(0, z), len(y)))
+    return clean, np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0)[text_of] * p
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     """Trains on labelled texts that are not held out: all of them, or a sample of bounded size.
 
     The sample (SAMPLE_PER_LABEL, SAMPLE_BYTES) is drawn by a hash of the id for each label. If an
-    id has several labels, the largest counts.
+    id has several labels, the largest counts. The sample is trained on in one task of an executor;
+    the weights other than 0 come back.
     """
     small_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("y"))
@@ -179,64 +191,50 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     share = {y: min(1.0, SAMPLE_PER_LABEL / n, SAMPLE_BYTES / max(1, size)) for y, (n, size) in counts.items()}
     chosen = known.withColumn("draw", draw).filter(F.col("draw") < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
-    rows = docs.filter(~held_out(id_col)).select(id_col, text_col).join(F.broadcast(chosen), id_col).select("y", "draw", id_col, F.col(text_col).alias("t"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, off = utf8(b.column(3))
-            slot, start, _, sentence = words(raw, off)
-            some = slot != NONE
-            cut = np.concatenate([[0], np.cumsum(some.sum(1))])[np.searchsorted(start, off)]
-            flat = (slot[some], np.repeat(sentence, some.sum(1)))
-            lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x.astype(np.int32))) for x in flat]
-            yield pa.RecordBatch.from_arrays([pc.cast(b.column(0), pa.int32()), b.column(1), pc.cast(b.column(2), pa.string()), *lists], names=["y", "draw", "id", "slot", "sentence"])
-
-    got = rows.mapInArrow(run, "y int, draw double, id string, slot array<int>, sentence array<int>").toArrow()
-    got = got.sort_by([("draw", "ascending"), ("id", "ascending")])
-    y, bags, sentences = got.column("y").to_numpy(), _lists(got.column("slot")), _lists(got.column("sentence"))
-    del got
-    return train(bags, sentences, y)
-
+    rows = docs.filter(~held_out(id_col)).select(id_col, text_col).join(F.broadcast(chosen), id_col).select("y", "draw", F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t"))
+
+    def learn(sample: pa.Table) -> pa.RecordBatch:
+        sample = sample.sort_by([("draw", "ascending"), ("id", "ascending"), ("t", "ascending")])
+        y, bags, sentences = sample.column("y").to_numpy().astype(int), [], []
+        for part in sample.column("t").chunks:
+            raw, off = utf8(part)
+            for i in range(len(off) - 1):
+                slot, _, _, sentence = words(raw[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]))
+                some = slot != NONE
+                bags.append(slot[some].astype(np.int32))
+                sentences.append(np.repeat(sentence, some.sum(1)).astype(np.int32))
+        model = train(bags, sentences, y)
+        at = np.flatnonzero(model.weights) if model else np.zeros(0, np.int64)
+        at = np.append(at, NONE) if model else at  # its weight is 0; says that there is a model
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(model.weights[at] if model else np.zeros(0, np.float32))], names=["slot", "weight"])
+
+    got = in_one_task(rows, "slot long, weight float", learn)
+    if not got.num_rows:
+        return None
+    weights = np.zeros(NONE + 1, np.float32)
+    weights[got.column("slot").to_numpy()] = got.column("weight").to_numpy()
+    return Model(weights, QUIET)
 
-def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
-    a = column.combine_chunks()
-    off, values = a.offsets.to_numpy(), a.values.to_numpy()
-    return [values[off[i] : off[i + 1]] for i in range(len(a))]
 
+def score(df: DataFrame, model: Model | None, keep: list[str], text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """``keep`` plus score, 0 to 1, and spans, the sentences whose own probability is ``least`` or more.
 
-def score(df: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` plus score, 0 to 1."""
+    Each span has the byte range in the text from its sentence's first word's start to its last word's
+    end, and its probability.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)  # the table's size is fixed
+    kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
 
     def run(batches: Iterator[list[pa.Array]]) -> Iterator[list[pa.Array]]:
         for (texts,) in batches:
-            yield [pa.array(np.clip(score_texts(shared.value, *utf8(texts)), 0, 1))]
+            scores, text, start, end, p = read(shared.value, *utf8(texts), least)
+            cut = np.searchsorted(text, np.arange(len(texts) + 1))
+            found = pa.StructArray.from_arrays([pa.array(start), pa.array(end), pa.array(p)], fields=list(kind))
+            yield [pa.array(np.clip(scores, 0, 1)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), found)]
 
-    return map_batches(df, keep, [text_col], "score double", run)
+    return map_batches(df, keep, [text_col], "score double, spans array<struct<start:bigint,end:bigint,p:double>>", run)
 
 
-def offending(df: DataFrame, model: Model | None, keep: list[str], text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """``keep`` plus spans, the sentences whose own probability is ``least`` or more.
-
-    Each span has the byte range in the text from its first word's start to its last word's end, and
-    its probability.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[list[pa.Array]]) -> Iterator[list[pa.Array]]:
-        for (texts,) in batches:
-            raw, off = utf8(texts)
-            found: list[list[dict]] = [[] for _ in range(len(off) - 1)]
-            for i, j in in_pieces(off, _PIECE):
-                o = off[i : j + 1] - off[i]
-                slot, start, end, sentence = words(raw[off[i] : off[j]], o)
-                if not len(slot) or shared.value is None:
-                    continue
-                at, clean = shared.value.sentences(slot, sentence)
-                p, last = -np.expm1(clean), np.append(at[1:], len(slot)) - 1
-                for k in np.flatnonzero(p >= least):
-                    t = int(np.searchsorted(o, start[at[k]], "right")) - 1
-                    found[i + t].append({"start": int(start[at[k]] - o[t]), "end": int(end[last[k]] - o[t]), "p": float(p[k])})
-            yield [pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])))]
-
-    return map_batches(df, keep, [text_col], "spans array<struct<start:bigint,end:bigint,p:double>>", run)
+def offending(df: DataFrame, model: Model | None, keep: list[str], text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """``keep`` plus spans, as ``score`` gives them."""
+    return score(df, model, [k for k in keep if k != "score"], text_col, least).drop("score")

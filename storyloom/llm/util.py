@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -27,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests on one machine), a local one."""
+    """The folder in spark.checkpoint.dir; where it is unset, a local one on a single machine, and an error elsewhere."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -48,14 +51,14 @@ def _clean() -> None:
         _delete(*_written.pop())
 
 
-def stored(df: DataFrame, *drop: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *drop: DataFrame, compression: str = "snappy") -> DataFrame:
     """Writes df to the shared folder and reads it again, which cuts its lineage.
 
     ``drop``: earlier results of this function that nothing needs any longer.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
@@ -133,6 +136,20 @@ def map_batches(
     return src.mapInArrow(run, schema)
 
 
+def in_one_task(rows: DataFrame, made: str, function: Callable[[pa.Table], pa.RecordBatch]) -> pa.Table:
+    """What ``function`` makes of all rows together, in one task of an executor: for samples of bounded size.
+
+    Only its result reaches the driver. Without rows the result is empty.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if got:
+            yield function(pa.Table.from_batches(got))
+
+    return rows.repartition(1).mapInArrow(run, made).toArrow()
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """df with its columns named c0, c1 and so on, so that no name of theirs meets one of an operator."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
