@@ -27,6 +27,8 @@ REPEATS = 2
 SEED = "mix-1"
 #: Patterns that are kept apart; beyond that number, which depends on that of the sources alone, patterns of many sources are pooled.
 PATTERNS = 1 << 12
+#: Texts of several sources up to which their patterns are sent to all workers; beyond that they are joined by a shuffle.
+SENT = 100_000
 
 
 def seeded_order(id_col: Column, seed: str = SEED) -> Column:
@@ -234,7 +236,9 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     most = _exact(len(names))
     name = F.when(F.size("m") <= most, F.array_join(F.transform("m", lambda x: x.cast("string")), ",")).otherwise(F.concat(F.lit("any "), F.size("m").cast("string")))
     held = stored(held.select("t_", "w", name.alias("p_"), (F.size("m") > 1).alias("several")))
-    found = named.join(held.filter("several").select("t_", "p_"), "t_", "left").withColumn("p_", F.coalesce("p_", F.col("n_").cast("string")))
+    shared = held.filter("several").select("t_", "p_")
+    few = shared.count() <= SENT
+    found = named.join(F.broadcast(shared) if few else shared, "t_", "left").withColumn("p_", F.coalesce("p_", F.col("n_").cast("string")))
     cells = {(r.p_, r.n_): r.w for r in found.groupBy("p_", "n_").agg(F.sum("size_").alias("w")).collect()}
     once = {r.p_: r.w for r in held.groupBy("p_").agg(F.sum("w").alias("w")).collect()}
     rows_of = dict.fromkeys(once, 0)
@@ -245,6 +249,8 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     sent = route(levels, {k: REPEATS * w for k, w in cells.items()}, {i: int(t + 0.5) for i, t in enumerate(goal)})
     number = {k: g for g, k in enumerate(sorted(cells))}
     lookup = spark.createDataFrame([(*k, g) for k, g in number.items()], "p_ string, n_ int, g_ int")
-    dealt = stored(found.join(F.broadcast(lookup), ["p_", "n_"]).withColumn("o_", seeded_order(F.col("id_"))).drop("t_", "p_", "n_"), rows, held)
+    dealt = found.join(F.broadcast(lookup), ["p_", "n_"]).withColumn("o_", seeded_order(F.col("id_"))).drop("t_", "p_", "n_")
+    if not few:  # else it is no dearer than a scan
+        dealt = stored(dealt, rows, held)
     got = _dealt(dealt, "size_", {g: (cells[k], sent[k]) for k, g in number.items()})
     return got.select(F.col("id_").alias(id_col), *keep, F.col("source_").alias(source_col), F.col("size_").alias("size"), "source_size", "target", "taken")
