@@ -3,7 +3,8 @@
 The texts of a batch are cut where no piece can cross (before a blank that follows a non-blank: no
 piece of the vocabulary has a blank after another character), and each distinct word is kept once.
 The words' concatenation is indexed by a suffix array, sorted to the depth of the longest piece;
-every piece of the vocabulary is found in it by binary search, which gives all its occurrences.
+every piece of the vocabulary is found in it by binary search, which gives all its occurrences. A word
+longer than what is indexed at once is indexed in windows.
 These edges are sorted by position and relaxed from left to right: an edge is taken if the piece
 before it and its own piece are neighbours that byte-pair merging leaves apart. The encoding of every
 prefix has exactly one such last piece, so the result is that of the merges by score, not an
@@ -11,11 +12,13 @@ approximation. Runs of blanks, whose pieces merge last, are looked up by length.
 
 The vocabulary is a SentencePiece BPE model with byte fallback, identity normalisation and a dummy
 prefix; others are refused. Encoding and decoding restore every text but for the character U+2581,
-which SentencePiece takes for a blank. Null and empty texts have no pieces and decode to "".
+which SentencePiece takes for a blank. Null and empty texts have no pieces and decode to "". In
+decoding, null ids and ids that the vocabulary lacks stand for nothing, and a null list for null.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
@@ -23,6 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -191,11 +195,8 @@ def _as_keys(spelled: np.ndarray, width: int, wide: bool) -> np.ndarray:
     return out.view(f"S{width}").ravel()
 
 
-def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets by word) of words that hold no blank, each encoded with one blank before it."""
-    joined = (END + BLANK).join(["", *words]) + END
-    cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)[1:]  # no word begins before the first blank
-    n = len(cp)
+def matches(v: Vocabulary, cp: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All occurrences of pieces in characters cp: (start, rank, length); and for each character whether it is END, and whether it has no piece."""
     number = np.zeros(0x110000, np.int32)
     number[cp] = 1
     present = np.flatnonzero(number)
@@ -209,16 +210,23 @@ def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
     there = np.zeros(0x110000, bool)
     there[present[known]] = there[0] = True
     whole = np.flatnonzero(there[v.matrix].all(1) & v.reached)
+    if not len(whole):
+        return whole, whole, whole, codes == 0, codes > known.sum()
     padding = v.matrix[whole] == 0
     spelled = np.where(padding, 0, number[v.matrix[whole]])
     width = keys.dtype.itemsize
     begin = np.searchsorted(keys, _as_keys(spelled, width, wide), "left")
     end = np.searchsorted(keys, _as_keys(np.where(padding, 65535 if wide else 255, spelled), width, wide), "right")
-    ranks, size = whole, (~padding).sum(1)
     found = end - begin
-    start = order[spread(begin, found)]
-    rank, length = np.repeat(ranks, found), np.repeat(size, found)
-    del keys, order
+    return order[spread(begin, found)], np.repeat(whole, found), np.repeat((~padding).sum(1), found), codes == 0, codes > known.sum()
+
+
+def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets by word) of words that hold no blank, each encoded with one blank before it."""
+    joined = (END + BLANK).join(["", *words]) + END
+    cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)[1:]  # no word begins before the first blank
+    n = len(cp)
+    start, rank, length, ended, strange = matches(v, cp)
 
     # Cuts: the places that no edge crosses. Words and characters without a piece are bounded by them.
     crossed = np.cumsum(np.bincount(start + 1, minlength=n + 2) - np.bincount(start + length, minlength=n + 2))[: n + 1]
@@ -257,7 +265,7 @@ def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
         token.append(v.id_of[r])
         more = live > floor
         live, floor = live[more], floor[more]
-    odd = np.flatnonzero(codes > known.sum())
+    odd = np.flatnonzero(strange)
     if len(odd):
         data = [chr(c).encode() for c in cp[odd].tolist()]
         lens = np.array([len(d) for d in data])
@@ -265,10 +273,68 @@ def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
         token.append(v.byte_ids[np.frombuffer(b"".join(data), np.uint8)])
     at, token = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, token))
     by = np.argsort(at, kind="stable")
-    bounds = np.concatenate([[0], np.flatnonzero(codes == 0) + 1])
+    bounds = np.concatenate([[0], np.flatnonzero(ended) + 1])
     return token[by], np.searchsorted(at[by], bounds)
 
 
+def encode_long(v: Vocabulary, word: str, window: int) -> np.ndarray:
+    """Ids of one word that is too long to be indexed at once, encoded with one blank before it.
+
+    The text is indexed window by window, each with as many characters of the next as a piece may
+    reach into it, and relaxed character by character. A segment's pieces are settled where no edge
+    crosses, so only its own last pieces are held.
+    """
+    cp = np.frombuffer((BLANK + word).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out, apart = array("i"), {}
+    base, reach = 0, 0  # where the segment begins; how far edges reach from what is behind
+    last = array("i", [-1])  # by place in the segment
+
+    def settle(p: int) -> None:
+        back = []
+        while p > base:
+            r = last[p - base]
+            back.append(int(v.id_of[r]))
+            p -= int(v.size_of[r])
+        out.extend(reversed(back))
+
+    for at in range(0, len(cp), window):
+        start, rank, length, _, strange = matches(v, cp[at : at + window + v.longest - 1])
+        own = start < window
+        start, rank, length = start[own], rank[own], length[own]
+        by = np.argsort(start, kind="stable")
+        cut = np.searchsorted(start[by], np.arange(min(window, len(cp) - at) + 1)).tolist()
+        ranks, ends = rank[by].tolist(), (start[by] + length[by] + at).tolist()
+        for i in range(len(cut) - 1):
+            p = at + i
+            if reach <= p:
+                settle(p)
+                base, last = p, array("i", [-1])
+                if strange[i]:
+                    out.extend(int(v.byte_ids[x]) for x in chr(cp[p]).encode())
+                    base = reach = p + 1
+                    continue
+            if cut[i] == cut[i + 1]:
+                continue
+            before = last[p - base] if p > base and p - base < len(last) else -1
+            if p > base and before < 0:
+                reach = max(reach, *ends[cut[i] : cut[i + 1]])
+                continue
+            for e in range(cut[i], cut[i + 1]):
+                r, z = ranks[e], ends[e]
+                reach = max(reach, z)
+                if p > base:
+                    ok = apart.get(before << 20 | r)
+                    if ok is None:
+                        ok = apart[before << 20 | r] = bool(v.apart(np.array([before]), np.array([r]))[0])
+                    if not ok:
+                        continue
+                if len(last) <= z - base:
+                    last.extend([-1] * (z - base + 1 - len(last)))
+                last[z - base] = r
+    settle(len(cp))
+    return np.frombuffer(out, np.int32).astype(np.int64)
+
+
 class Encoder:
     """Encodes texts; remembers the words it has seen, up to CACHED characters, then begins anew."""
 
@@ -332,7 +398,13 @@ def _encode_units(v: Vocabulary, names: list[str]) -> tuple[np.ndarray, np.ndarr
         while j < len(distinct) and (j == i or size + len(distinct[j]) + 2 <= INDEXED):
             size += len(distinct[j]) + 2
             j += 1
-        got, o = encode_words(v, distinct[i:j])
+            if size > INDEXED:
+                break
+        if len(distinct[i]) > INDEXED:
+            got = encode_long(v, distinct[i], INDEXED)
+            o = np.array([0, len(got)])
+        else:
+            got, o = encode_words(v, distinct[i:j])
         ids.append(got)
         off.append(o[1:] + base)
         base += len(got)
@@ -415,3 +487,21 @@ def encode(df: DataFrame, model_file: str, keep: list[str], text_col: str = "tex
             yield from group(encoder, waiting)
 
     return map_batches(df, keep, [text_col], "n_pieces long, ids array<int>, restored boolean" + ", decoded string" * decoded, run)
+
+
+def decode(df: DataFrame, model_file: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
+    """``keep`` plus decoded, the text of the ids."""
+    shared = df.sparkSession.sparkContext.broadcast(Path(model_file).read_bytes())
+
+    def run(batches: Iterator[list[pa.Array]]) -> Iterator[list[pa.Array]]:
+        v = vocabulary(shared.value)
+        for (lists,) in batches:
+            ids = pc.cast(lists.flatten(), pa.int64())
+            fine = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, v.size)), False).to_numpy(zero_copy_only=False)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(fine)])[np.concatenate([[0], np.cumsum(size)])]
+            raw, off = decode_ids(v, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)[fine], at)
+            data, none = raw.tobytes(), lists.is_null().to_pylist()
+            yield [pa.array([None if x else data[a:b].decode("utf-8", "replace") for x, a, b in zip(none, off[:-1], off[1:])], pa.string())]
+
+    return map_batches(df, keep, [ids_col], "decoded string", run)
