@@ -131,6 +131,8 @@ def _pairs(classes: DataFrame, d: int, n: int, least: float) -> DataFrame:
     planes = directions(d, signs * number, 1)
     powers = 1 << np.arange(signs)
 
+    kind = np.uint8 if signs <= 8 else np.uint16 if signs <= 16 else np.uint32  # a vector's keys go with it, as bytes
+
     def keys_of(unit: np.ndarray) -> np.ndarray:
         return ((unit @ planes).reshape(len(unit), number, signs) > 0) @ powers
 
@@ -144,12 +146,13 @@ def _pairs(classes: DataFrame, d: int, n: int, least: float) -> DataFrame:
                 rows = np.tile(np.arange(b.num_rows), number)
                 t = np.repeat(np.arange(number, dtype=np.int32), b.num_rows)
                 took = b.take(pa.array(rows))
+                packed = pa.array([k.tobytes() for k in keys.astype(kind)], pa.binary()).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.T.ravel().astype(np.int64)), pa.array(t), *(took.column(i) for i in range(3))], names=["key", "t", "v", "node", "rows"]
+                    [pa.array(keys.T.ravel().astype(np.int64)), pa.array(t), *(took.column(i) for i in range(3)), packed], names=["key", "t", "v", "node", "rows", "keys"]
                 )
 
-    dealt = classes.select("v", "node", "rows").mapInArrow(deal, "key long, t int, v array<double>, node long, rows long")
-    dealt = in_blocks(dealt, ["key", "t"], "node", 2048).select("key", "t", "ci", "cj", "own", "node", "rows", "v")
+    dealt = classes.select("v", "node", "rows").mapInArrow(deal, "key long, t int, v array<double>, node long, rows long, keys binary")
+    dealt = in_blocks(dealt, ["key", "t"], "node", 2048).select("key", "t", "ci", "cj", "own", "node", "rows", "v", "keys")
     dealt = dealt.repartition("key", "t", "ci", "cj").sortWithinPartitions("key", "t", "ci", "cj", "own", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +175,7 @@ def _pairs(classes: DataFrame, d: int, n: int, least: float) -> DataFrame:
                 continue
             earlier = np.zeros(len(i), bool)
             if t:
-                keys = keys_of(unit)[:, :t]
+                keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), kind).reshape(len(node), number)[:, :t]
                 earlier = np.concatenate([(keys[i[k : k + 65536]] == keys[j[k : k + 65536]]).any(1) for k in range(0, len(i), 65536)])
             child, root = forest(len(node), i, j)
             i, j = i[~earlier], j[~earlier]
