@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licences import BASE, INDEXED, TEMPLATES
+from .licences import BASE, TEMPLATES
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,11 +25,7 @@ def _licences() -> str:
  label(t, label, size) AS (VALUES {_rows([(t, label, len(text.split())) for t, (label, text, _) in enumerate(TEMPLATES)])}),
  must(t, k, w) AS (VALUES {_rows(must)}),
  phrase(b, label, k, w, size) AS (VALUES {_rows(base)}),
- held AS (SELECT w, count(*) AS n FROM (SELECT DISTINCT r, w FROM pos WHERE w IN (SELECT w FROM template)) GROUP BY w),
- rare AS (SELECT t, w, k FROM (SELECT t, w, min(k) AS k FROM template GROUP BY t, w) LEFT JOIN held USING (w)
-   QUALIFY row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), w) <= {INDEXED}),
- needed AS (SELECT t, k, w FROM rare UNION SELECT t, k, w FROM must),
- starts AS (SELECT r, t, i - k AS s FROM pos JOIN needed USING (w) GROUP BY r, t, i - k HAVING count(*) = (SELECT count(*) FROM needed n WHERE n.t = needed.t)),
+ starts AS (SELECT r, t, i - k AS s FROM pos JOIN must USING (w) GROUP BY r, t, i - k HAVING count(*) = (SELECT count(*) FROM must n WHERE n.t = must.t)),
  matched AS (SELECT starts.r, starts.t, s, count(*) AS n FROM starts JOIN template USING (t) JOIN pos ON pos.r = starts.r AND pos.i = s + template.k AND pos.w = template.w GROUP BY ALL),
  own AS (SELECT r, label, max(n / size) AS score FROM matched JOIN label USING (t) GROUP BY r, label),
  found AS (SELECT r, b, label, i - k AS s FROM pos JOIN phrase USING (w) GROUP BY r, b, label, i - k, size HAVING count(*) = size),
