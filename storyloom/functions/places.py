@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .normal import nfkc
+
 #: The places that are written as they are.
 ALLOWED = (
     "台北市 新北市 桃園市 台中市 台南市 高雄市 基隆市 新竹市 嘉義市 宜蘭縣 花蓮縣 台東縣 南投縣 彰化縣 雲林縣 屏東縣 苗栗縣 新竹縣 嘉義縣 "
@@ -33,21 +37,18 @@ TAIWAN = (
     ("彰化縣", "彰化(縣|$)"), ("雲林縣", "雲林(縣|$)"), ("屏東縣", "屏東(縣|$)|恆春|墾丁|小墾丁"), ("苗栗縣", "苗栗(縣|$)"),
     ("澎湖縣", "澎湖(縣|$)|澎湖沿岸|馬公"), ("金門縣", "金門(縣|$)"), ("連江縣", "(連江|馬祖)"),
 )
-#: Fixed values, a part of the whole list, in its order; the rest is a parameter (``aliases``), read from a table.
-ALIASES = (
-    ("香港", ("香港", "HK", "H.K.")),
-    ("美國", ("美國", "美国", "USA", "U.S.", "US")),
-    ("日本", ("日本", "Japan", "東京", "东京")),
-    ("歐盟", ("歐盟", "EU", "E.U.", "布魯塞爾", "布鲁塞尔")),
-    ("英國", ("英國", "UK", "U.K.", "倫敦")),
-    ("法國", ("法國", "France", "巴黎", "Paris")),
-    ("德國", ("德國", "Germany", "柏林", "Berlin")),
-    ("西班牙", ("西班牙", "Spain", "馬德里")),
-    ("比利時", ("比利時", "Belgium", "布魯塞爾", "布鲁塞尔")),
-    ("巴勒斯坦", ("巴勒斯坦", "Palestine", "PA")),
-    ("巴拿馬", ("巴拿馬", "Panama", "PA")),
-    ("千里達及托巴哥", ("千里達", "西班牙港")),
-)
+Aliases = Sequence[tuple[str, Sequence[str]]]
+
+
+def load_aliases(path: str | Path) -> Aliases:
+    """Places and their names in the order of the file's lines, ``place: names``; names in compatibility normal form."""
+    lines = Path(path).read_text("utf-8").splitlines()
+    pairs = [line.split(": ") for line in lines if line and not line.startswith("#")]
+    return tuple((place, tuple(unicodedata.normalize("NFKC", n) for n in names.split())) for place, names in pairs)
+
+
+#: The names of countries and territories; a parameter of all functions below.
+ALIASES = load_aliases(Path(__file__).parent.parent / "data" / "place_aliases.txt")
 #: Place, pattern.
 SUPPLEMENTAL = (
     ("美國", "白宮|華府|美軍|矽谷|加州|德州|佛州|紐約|洛杉磯|舊金山|西雅圖|波士頓|芝加哥|華盛頓"),
@@ -61,8 +62,8 @@ REGIONS = (
     ("台灣-中部", ("中臺灣", "中台灣", "中部", "桃竹苗"), ("台中市", "苗栗縣", "彰化縣", "南投縣", "雲林縣")),
     ("台灣-南部", ("南臺灣", "南台灣", "南部", "高屏", "雲嘉南"), ("台南市", "高雄市", "屏東縣", "嘉義縣", "嘉義市", "雲林縣")),
     ("台灣-東部", ("東臺灣", "東台灣", "東部"), ("宜蘭縣", "花蓮縣", "台東縣")),
-    ("台灣-花東", ("花東", "花東地區"), ("花蓮縣", "台東縣")),
     ("台灣-西部", ("西部",), ("基隆市", "台北市", "新北市", "桃園市", "新竹市", "新竹縣", "苗栗縣", "台中市", "彰化縣", "南投縣", "雲林縣", "嘉義縣", "嘉義市", "台南市", "高雄市", "屏東縣")),
+    ("台灣-花東", ("花東", "花東地區"), ("花蓮縣", "台東縣")),
     ("台灣-離島", ("離島",), ("澎湖縣", "金門縣", "連江縣")),
 )
 #: Pattern of a finer place, its county.
@@ -71,8 +72,6 @@ KEYWORDS = (
     ("恆春半島|小墾丁", "屏東縣"), ("花東|花東縱谷", "花蓮縣"), ("大台北|北北基", "台北市"),
 )
 
-Aliases = Sequence[tuple[str, Sequence[str]]]
-
 
 def squeezed(c: Column) -> Column:
     """Without any white space."""
@@ -98,13 +97,13 @@ def canonical_place(c: Column, aliases: Aliases = ALIASES) -> Column:
     return F.coalesce(F.when(s.isin(*ALLOWED), s), *[F.when(s.rlike(p), place) for p, place in rules(aliases)])
 
 
-def read_aliases(spark: SparkSession, path: str) -> Aliases:
-    """Aliases from a CSV table ``priority, place, alias``, the full list that is not kept in code."""
-    rows = spark.read.csv(path, header=True, schema="priority int, place string, alias string").orderBy("priority").collect()
-    out: dict[str, list[str]] = {}
-    for r in rows:
-        out.setdefault(r.place, []).append(r.alias)
-    return [*out.items()]
+def canonicalized(df: DataFrame, column: str, name: str = "place", aliases: Aliases = ALIASES) -> DataFrame:
+    """df with the place of each value of ``column``, brought to compatibility normal form; null where no rule fits.
+
+    Rules are tried once for each distinct value. Nulls have no place.
+    """
+    found = df.select(column).distinct().withColumn(name, canonical_place(nfkc(F.col(column)), aliases))
+    return df.join(found.filter(F.col(name).isNotNull()), column, "left")
 
 
 def expanded_places(tokens: Column, text: Column, aliases: Aliases = ALIASES) -> Column:

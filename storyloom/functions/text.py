@@ -71,10 +71,33 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / both), F.lit(0.0))
 
 
+def stripped(c: Column) -> Column:
+    """Without white space at both ends; null is empty."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+
+
+def embeddable(title: Column, content: Column) -> Column:
+    """Whether an article has a title or content at all."""
+    return (stripped(title) != "") | (stripped(content) != "")
+
+
+def embed_input(title: Column, content: Column) -> Column:
+    return stripped(F.concat(stripped(title), F.lit("\n"), stripped(content)))
+
+
+def html(c: Column) -> Column:
+    """Safe inside an element or a quoted attribute; null is empty."""
+    c = F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;"))
+    for raw, safe in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        c = F.replace(c, F.lit(raw), F.lit(safe))
+    return c
+
+
 def article_for_llm(title: Column, content: Column) -> Column:
-    return F.substring(F.concat(F.lit("【標題】"), F.coalesce(title, F.lit("")), F.lit("\n【內文】"), F.coalesce(content, F.lit(""))), 1, 2000)
+    return F.substring(F.concat(F.lit("【標題】"), stripped(title), F.lit("\n【內文】"), stripped(content)), 1, 2000)
 
 
+#: Where sentences and clauses end.
 SENTENCE_END = re.compile(r"(?<=[。！？；.!?])\s*")
 CLAUSE_END = re.compile(r"([。！？!?；;：:、,\n])")
 

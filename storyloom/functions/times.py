@@ -31,3 +31,16 @@ def taipei(c: Column) -> Column:
 
 def utc(c: Column, form: str = "yyyy-MM-dd HH:mm:ss 'UTC'") -> Column:
     return F.date_format(F.timestamp_seconds(c), form)
+
+
+def moment(c: Column) -> Column:
+    """Epoch seconds of a text: a number counts as such (milliseconds brought down), a date with a zone as it says, one
+    without as UTC. Null where it is neither."""
+    number = c.try_cast("double")
+    whole = F.when(number > 1_000_000_000_000, F.floor(number / 1000)).otherwise(F.floor(number)).cast("bigint")
+    return F.coalesce(whole, F.unix_seconds(F.try_to_timestamp(F.trim(c))))
+
+
+def wall_clock(c: Column) -> Column:
+    """Epoch seconds of a timestamp without a zone, taken as Taipei's wall clock."""
+    return F.unix_seconds(F.to_utc_timestamp(c.cast("timestamp"), TAIPEI))

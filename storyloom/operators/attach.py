@@ -1,41 +1,100 @@
-"""Articles against story clusters: top clusters by cosine, combined score, decision; topics of a vector."""
+"""Articles against story clusters: top clusters by cosine, combined score, decision; topics of a vector.
+
+Articles without a live vector meet no cluster, open one of their own, and have no topic. Null and
+empty sets of entities or places overlap with nothing. Without clusters every article opens one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions.text import jaccard
-from ..functions.vector import cosine, is_live, normalize
+from ..functions.vector import is_live, normalize
 
-#: Rows of the smaller side up to which it is sent to all workers; beyond that it is dealt out.
+#: Topics are a fixed list, sent to all workers; more than this many are refused.
+TOPICS = 1000
+#: Rows of the smaller side that are compared at a time; a side of more rows is dealt out in blocks of this many.
 BROADCAST_ROWS = 20_000
+#: Articles that meet a block of clusters in one task.
+MET_ROWS = 100_000
+
+
+def _best(ids: np.ndarray, x: np.ndarray, names: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of x its k nearest of y by cosine, ties to the smaller name: (id, name, cosine)."""
+    by_name = np.argsort(names, kind="stable")
+    names, y = names[by_name], y[by_name]
+    sims = x @ y.T / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((y * y).sum(1))
+    at = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+    return np.repeat(ids, at.shape[1]), names[at].ravel(), np.take_along_axis(sims, at, 1).ravel()
 
 
-def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if it has no more than ``rows`` rows (one more is looked for, not all counted)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _table(t: pa.Table | pa.RecordBatch, name: str, vector: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(names, vectors) for each length of vector."""
+    lists = t.column(vector)
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    names = t.column(name).to_numpy() if isinstance(t, pa.Table) else t.column(name).to_numpy(zero_copy_only=False)
+    size = np.diff(lists.offsets.to_numpy())
+    flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return [(names[rows], flat[at[rows][:, None] + np.arange(d)]) for d in np.unique(size) for rows in [np.flatnonzero(size == d)]]
 
 
 def top_clusters(articles: DataFrame, clusters: DataFrame, p: Params = Params()) -> DataFrame:
     """(id, cluster_id, sim, rank): the most similar clusters of each article with a live vector.
 
-    ``articles``: id, vec; ``clusters``: cluster_id, centroid. Ties go to the smaller cluster id. The
-    clusters of the last days are few beside the articles and are sent to all workers if their number
-    is checked to be small; each article's pairs are ranked where they are made, without a shuffle.
+    ``articles``: id, vec; ``clusters``: cluster_id, centroid; each name once. Ties go to the smaller
+    cluster id; vectors are compared with those of their own length. Up to BROADCAST_ROWS clusters are
+    sent to all workers, and an article's k best found where it lies. More are dealt into blocks of as
+    many, articles meet each block in a task of its own, and what reaches the ranking is k rows for each
+    article and block, never all pairs.
     """
-    c = sized_broadcast(clusters.filter(is_live(F.col("centroid"))).select("cluster_id", "centroid"))
-    pairs = articles.filter(is_live(F.col("vec"))).select("id", "vec").join(c).select("id", "cluster_id", cosine(F.col("vec"), F.col("centroid")).alias("sim"))
+    k = p.top_k_attach
+    c = clusters.filter(is_live(F.col("centroid"))).select("cluster_id", F.col("centroid").cast("array<double>").alias("c_"))
+    a = articles.filter(is_live(F.col("vec"))).select("id", F.col("vec").cast("array<double>").alias("v_"))
+    kinds = {"id": a.schema["id"].dataType.simpleString(), "cluster_id": c.schema["cluster_id"].dataType.simpleString()}
+    made = f"id {kinds['id']}, cluster_id {kinds['cluster_id']}, sim double"
+
+    def pairs(mine: list, others: list) -> Iterator[pa.RecordBatch]:
+        for ids, x in mine:
+            for names, y in others:
+                for at in range(0, len(ids) if x.shape[1] == y.shape[1] else 0, 1024):
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in _best(ids[at : at + 1024], x[at : at + 1024], names, y, k)], names=["id", "cluster_id", "sim"])
+
+    few = c.limit(BROADCAST_ROWS + 1).toArrow()
+    if few.num_rows <= BROADCAST_ROWS:
+        shared = articles.sparkSession.sparkContext.broadcast(_table(few, "cluster_id", "c_"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    yield from pairs(_table(b, "id", "v_"), shared.value)
+
+        got = a.mapInArrow(run, made)
+    else:
+        blocks = -(-c.count() // BROADCAST_ROWS)
+
+        def meet(mine: pa.Table, others: pa.Table) -> pa.Table:
+            batches = list(pairs(_table(mine, "id", "v_"), _table(others, "cluster_id", "c_"))) if mine.num_rows and others.num_rows else []
+            return pa.Table.from_batches(batches) if batches else pa.table({"id": mine["id"][:0], "cluster_id": others["cluster_id"][:0], "sim": pa.array([], pa.float64())})
+
+        parts = max(1, -(-a.count() // MET_ROWS))
+        mine = a.withColumns({"pa_": F.pmod(F.xxhash64("id"), F.lit(parts)), "pc_": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+        others = c.withColumns({"pc_": F.pmod(F.xxhash64("cluster_id"), F.lit(blocks)).cast("int"), "pa_": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))})
+        got = mine.groupBy("pa_", "pc_").cogroup(others.groupBy("pa_", "pc_")).applyInArrow(meet, made)
     by = Window.partitionBy("id").orderBy(F.desc("sim"), "cluster_id")
-    return pairs.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= p.top_k_attach)
+    return got.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
 def combined(top: DataFrame, articles: DataFrame, clusters: DataFrame, p: Params = Params()) -> DataFrame:
     """top with ent, place, time and score. Both sides carry ``ents`` and ``places`` (arrays); articles
     ``published_at``, clusters ``latest_published``."""
     a = articles.select("id", F.col("ents").alias("ae"), F.col("places").alias("ap"), "published_at")
-    c = sized_broadcast(clusters.select("cluster_id", F.col("ents").alias("ce"), F.col("places").alias("cp"), "latest_published"))
+    c = clusters.select("cluster_id", F.col("ents").alias("ce"), F.col("places").alias("cp"), "latest_published")
     time = F.when(F.abs(F.col("published_at") - F.col("latest_published")) <= p.time_window_days * 86_400, p.time_bonus).otherwise(0.0)
     parts = top.join(a, "id").join(c, "cluster_id").select("id", "cluster_id", "sim", "rank", jaccard(F.col("ae"), F.col("ce")).alias("ent"), jaccard(F.col("ap"), F.col("cp")).alias("place"), time.alias("time"))
     return parts.withColumn("score", F.col("sim") + p.alpha_ent * F.col("ent") + p.alpha_place * F.col("place") + F.col("time"))
@@ -50,8 +109,10 @@ def decide(scored: DataFrame, articles: DataFrame, p: Params = Params()) -> Data
 
 
 def topic_candidates(items: DataFrame, topics: DataFrame, p: Params = Params()) -> DataFrame:
-    """(id, label, score, rank) of the nearest topics. ``topics``: label, vec of length 1; a fixed, short list."""
-    t = sized_broadcast(topics.select("label", F.col("vec").alias("tv")), 1000)
+    """(id, label, score, rank) of the nearest topics. ``topics``: label, vec of length 1; a list of up to TOPICS."""
+    if topics.limit(TOPICS + 1).count() > TOPICS:
+        raise ValueError(f"more than {TOPICS} topics")
+    t = F.broadcast(topics.select("label", F.col("vec").alias("tv")))
     c = items.filter(is_live(F.col("vec"))).select("id", normalize(F.col("vec")).alias("v")).join(t)
     sim = F.aggregate(F.zip_with("v", "tv", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     by = Window.partitionBy("id").orderBy(F.desc("score"), "label")

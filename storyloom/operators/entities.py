@@ -1,4 +1,7 @@
-"""Entity counts of articles and clusters; the tagger is an adapter with an offline stand-in."""
+"""Entity counts of articles and clusters; the tagger is an adapter with an offline stand-in.
+
+A null or empty content has no entities. Repeated articles count as often as they occur.
+"""
 
 from __future__ import annotations
 

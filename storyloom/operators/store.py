@@ -1,4 +1,9 @@
-"""Persistence: probes, upserts, merges and manifests as joins that give the next version of a table."""
+"""Persistence: probes, upserts, merges and manifests as joins that give the next version of a table.
+
+Rows with a null key are never matched: they are new in a split, and left out of inserts and upserts.
+Of several rows with one key in a patch or batch, one is taken (see each function). Empty sides are
+allowed everywhere.
+"""
 
 from __future__ import annotations
 
@@ -21,15 +26,18 @@ def split_known(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame,
 
 def insert_new(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """base and those rows whose key it does not have; of several rows with one key, the first in the order of all columns."""
-    fresh = rows.join(base.select(key), key, "left_anti").select(base.columns)
+    fresh = rows.filter(F.col(key).isNotNull()).join(base.select(key), key, "left_anti").select(base.columns)
     others = [c for c in base.columns if c != key]
     one = fresh.groupBy(key).agg(F.min(F.struct(*others)).alias("r")).select(key, "r.*")
     return base.unionByName(one)
 
 
 def upsert(base: DataFrame, patch: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """base with the non-null ``columns`` of patch, and the rows of patch that it lacks. One row for each key in patch."""
-    new = patch.select(F.col(key).alias("k_"), *[F.col(c).alias(f"p_{c}") for c in columns], F.lit(True).alias("there_"))
+    """base with the non-null ``columns`` of patch, and the rows of patch that it lacks.
+
+    If patch repeats a key, the largest value of each column counts.
+    """
+    new = patch.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k_")).agg(*[F.max(c).alias(f"p_{c}") for c in columns])
     merged = base.join(new, base[key] == F.col("k_"), "full_outer")
     pick = lambda c: F.coalesce(f"p_{c}", c) if c in columns else F.col(c)
     return merged.select(*[F.coalesce(key, "k_").alias(key) if c == key else pick(c).alias(c) for c in base.columns])
@@ -49,11 +57,50 @@ def merge_clusters(base: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+#: What a batch says anew about a cluster, if it says anything.
+SAID = ("main_topic", "main_topic_score", "secondary_topic", "secondary_topic_score", "ambiguous", "places_in_concern", "places_in_detail")
+
+
+def merge_cluster_facts(base: DataFrame, batch: DataFrame, k: int = 10) -> DataFrame:
+    """The stored clusters after a batch: (cluster_id, article_count, latest_published, centroid, top_entities, *SAID).
+
+    Both sides have these columns and one row for each cluster. Counts are added, the later time and
+    the mean of all articles' vectors taken; entities (array<struct<text, label, count>>) are added by
+    text and label and cut to the k most frequent (then by text and label). The topics go together:
+    they are the batch's if it names a main one. Each other column of SAID is the batch's where it is
+    not null. Places outside the writable ones are dropped, and a list without any is null.
+    """
+    old, new = ({c: F.col(f"{side}.{c}") for c in ("article_count", "latest_published", "centroid", "top_entities", *SAID)} for side in ("o", "n"))
+    joined = base.alias("o").join(batch.alias("n"), F.col("o.cluster_id") == F.col("n.cluster_id"), "full_outer")
+    zero = F.lit(0).cast("bigint")
+    n_old, n_new = F.coalesce(old["article_count"], zero), F.coalesce(new["article_count"], zero)
+    none = F.array().cast("array<struct<text:string,label:string,count:bigint>>")
+    both = F.concat(F.coalesce(old["top_entities"], none), F.coalesce(new["top_entities"], none))
+    names = F.array_distinct(F.transform(both, lambda e: F.struct(e.text.alias("text"), e.label.alias("label"))))
+    of = lambda x: F.aggregate(F.filter(both, lambda e: e.text.eqNullSafe(x.text) & e.label.eqNullSafe(x.label)), zero, lambda s, e: s + F.coalesce(e["count"], zero))
+    ranked = F.array_sort(F.transform(names, lambda x: F.struct((-of(x)).alias("o"), x.text.alias("text"), x.label.alias("label"))))
+    kept = F.transform(F.slice(ranked, 1, k), lambda x: F.struct(x.text.alias("text"), x.label.alias("label"), (-x.o).alias("count")))
+    topic = {c: F.when(new["main_topic"].isNotNull(), new[c]).otherwise(old[c]) for c in SAID[:4]}
+    said = {"ambiguous": F.coalesce(new["ambiguous"], old["ambiguous"]), "places_in_concern": F.coalesce(writable_places(new["places_in_concern"]), old["places_in_concern"]), "places_in_detail": F.coalesce(writable_detail(new["places_in_detail"]), old["places_in_detail"])}
+    return joined.select(
+        F.coalesce("o.cluster_id", "n.cluster_id").alias("cluster_id"), (n_old + n_new).alias("article_count"),
+        F.greatest(F.coalesce(old["latest_published"], zero), F.coalesce(new["latest_published"], zero)).alias("latest_published"),
+        weighted_centroid(old["centroid"], n_old, new["centroid"], n_new).alias("centroid"), kept.alias("top_entities"),
+        *[x.alias(c) for c, x in (topic | said).items()],
+    )
+
+
 def weighted_centroid(old: Column, n: Column, mean: Column, m: Column) -> Column:
     """The mean of n vectors whose mean is old and m more whose mean is ``mean``."""
     return F.when(old.isNull(), mean).when(mean.isNull(), old).otherwise(F.zip_with(old, mean, lambda x, y: (x * n + y * m) / (n + m)))
 
 
+def writable_detail(c: Column) -> Column:
+    """Of array<struct<place, frequency, place_source>>, those whose place may be written, in their order; null if none is left."""
+    kept = F.filter(c, lambda x: x.place.isin(*WRITABLE))
+    return F.when(F.size(kept) > 0, kept)
+
+
 def writable_places(c: Column) -> Column:
     """The places that may be written, in their order; null if none is left."""
     kept = F.array_distinct(F.filter(c, lambda x: x.isin(*WRITABLE)))
@@ -87,3 +134,23 @@ def log_failure(spark: SparkSession, failures: DataFrame, job: int, kind: str, d
     n = (failures.agg(F.max("id")).first()[0] or 0) + 1
     row = spark.createDataFrame([(n, kind, detail, at, False, job)], "id int, failure_type string, detail string, timestamp bigint, resolved boolean, jobId int")
     return failures.unionByName(row)
+
+
+def enum_value(c: Column, values: dict[str, str]) -> Column:
+    """The value of an enumeration that a text names, by value or by name; null for any other text."""
+    names = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.when(c.isin(*values.values()), c).otherwise(F.try_element_at(names, c))
+
+
+def sanitised(df: DataFrame, numbers: list[str] = (), integers: list[str] = (), nested: list[str] = ()) -> DataFrame:
+    """df ready to be written: ``numbers`` as doubles and ``integers`` as longs, null where they are none (or NaN), ``nested`` as JSON."""
+    as_number = lambda c: F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
+    made = {c: as_number(c) for c in numbers} | {c: as_number(c).try_cast("bigint") for c in integers} | {c: F.to_json(c) for c in nested}
+    return df.withColumns({c: x for c, x in made.items() if c in df.columns})
+
+
+def headlines_to_articles(articles: DataFrame, clusters: DataFrame) -> DataFrame:
+    """articles with headline, summary and question of their cluster, where it has any of the three. ``clusters``: one row for each."""
+    fields = ("headline", "summary", "question")
+    said = clusters.filter(F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in fields]).isNotNull()).select("cluster_id", *fields)
+    return articles.drop(*fields).join(said, "cluster_id", "left")

@@ -19,7 +19,9 @@ class Leader:
         self.size, self.name = np.zeros(64), []
 
     def add(self, name, v: np.ndarray):
-        """(cluster, similarity to it, opened)."""
+        """(cluster, similarity to it, opened); a vector of another length than the first opens nothing: (None, None, False)."""
+        if len(v) != self.sums.shape[1]:
+            return None, None, False
         length = np.sqrt(v @ v)
         if self.n:
             sims = self.unit[: self.n] @ v / length

@@ -5,7 +5,8 @@ from __future__ import annotations
 from ..functions.places import ALIASES, ALLOWED, KEYWORDS, REGIONS, SUPPLEMENTAL, TAIWAN
 from ..functions.text import BOILERPLATE, NATIVE
 from ..operators.store import WRITABLE
-from .queries import ENTITY_CASES, PLACE_CASES, REGION_CASES, P
+from ..sources.scans import OUTLETS
+from .queries import ENTITY_CASES, NAMES, PLACE_CASES, REGION_CASES, P
 
 
 def _q(x: str | None) -> str:
@@ -16,7 +17,8 @@ def _list(xs) -> str:
     return "[" + ",".join(map(_q, xs)) + "]"
 
 
-_REGION = "['台灣','香港','中國','美國','歐盟'][TRY_CAST(regexp_extract(media_name, '([0-9]+)$', 1) AS INTEGER) % 5 + 1]"
+_NUMBER = f"TRY_CAST(regexp_extract(media_name, '([0-9]+)$', 1) AS INTEGER) * 7 % {len(OUTLETS)} + 1"
+_REGION = f"{_list(r for _, r in OUTLETS)}[{_NUMBER}]"
 _ART = f"""WITH articles AS (
   SELECT *, {_REGION} AS region FROM (
   SELECT doc_id AS id, split_part(text, chr(10), 1) AS title, text AS content, source AS media_name,
@@ -48,6 +50,8 @@ _MET = _PAIRS + f""", own AS (SELECT canon.*, cls FROM canon JOIN texts USING (c
 _VEC = _ART + """, vecs AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec, label, published_at, media_name, region FROM embeddings JOIN articles ON vec_id = articles.id),
  comp AS (SELECT label, i, avg(vec[i]) AS x, count(*) AS n FROM vecs, (SELECT unnest(range(1, 65)) AS i) GROUP BY label, i),
  cents AS (SELECT label, list(x ORDER BY i) AS centroid FROM comp GROUP BY label)"""
+_ALLVEC = """WITH vecs AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec, label FROM embeddings),
+ comp AS (SELECT label, i, avg(vec[i]) AS x, count(*) AS n FROM vecs, (SELECT unnest(range(1, 65)) AS i) GROUP BY label, i)"""
 _SIMS = _VEC + """, sims AS (SELECT id, c.label AS cluster_id, list_dot_product(vec, centroid) / sqrt(list_dot_product(vec, vec)) / sqrt(list_dot_product(centroid, centroid)) AS sim
    FROM vecs, cents c WHERE list_dot_product(vec, vec) > 1e-16),
  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY sim DESC, cluster_id) AS INTEGER) AS rank FROM sims)"""
@@ -68,10 +72,6 @@ _TOPIC = _VEC + """, topics AS (SELECT 'topic' || label AS label, list_transform
  tc AS (SELECT id, t.label, list_dot_product(list_transform(vec, lambda x: x / (sqrt(list_dot_product(vec, vec)) + 1e-12)), tv) AS score FROM vecs, topics t),
  cand AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS INTEGER) AS rank FROM tc QUALIFY rank <= 3),
  wide AS (SELECT id, max(CASE WHEN rank = 1 THEN label END) AS m, max(CASE WHEN rank = 1 THEN score END) AS ms, max(CASE WHEN rank = 2 THEN label END) AS s, max(CASE WHEN rank = 2 THEN score END) AS ss FROM cand GROUP BY id)"""
-_PLACE = _ENT + f""", mention AS (SELECT id, pos, ['台灣','香港','中國','美國','歐盟'][length(text) % 5 + 1] AS place FROM ent WHERE label IN ('GPE', 'LOC')),
- pc AS (SELECT id, place, count(*) AS n, min(pos) AS at0 FROM mention GROUP BY id, place)"""
-
-
 def _alias_case() -> str:
     import re
 
@@ -93,7 +93,14 @@ def _canonical_place(c: str) -> str:
     return f"CASE WHEN {s} IN ({','.join(map(_q, ALLOWED))}) THEN {s} {whens} END"
 
 
-def _expanded() -> str:
+_PLACE = _ENT + f""", raw AS (SELECT id, pos, {_list(NAMES)}[('0x' || substr(md5(text), 1, 8))::BIGINT % {len(NAMES)} + 1] AS raw FROM ent WHERE label IN ('GPE', 'LOC')),
+ known AS (SELECT raw, {_canonical_place('raw')} AS place FROM (SELECT DISTINCT raw FROM raw)),
+ mention AS (SELECT id, pos, place FROM raw JOIN known USING (raw) WHERE place IS NOT NULL),
+ pc AS (SELECT id, place, count(*) AS n, min(pos) AS at0 FROM mention GROUP BY id, place)"""
+
+
+def _expanded(rows: str, key: str) -> str:
+    """Of rows with key, token and body."""
     s = "regexp_replace(coalesce(body, ''), '\\s+', '', 'g')"
     names = sorted(((n, counties) for _, names, counties in REGIONS for n in names), key=lambda x: -len(x[0]))
     pattern = "(" + "|".join(n for n, _ in names) + ")"
@@ -101,9 +108,11 @@ def _expanded() -> str:
     of = lambda c: f"flatten(list_transform(regexp_extract_all({c}, {_q(pattern)}, 1), lambda a: ({region})[a]))"
     hits = [f"CASE WHEN regexp_matches({s}, {_q(p)}) THEN {_q(c)} END" for p, c in (*KEYWORDS, ("花東", "花蓮縣"), ("花東", "台東縣"))]
     hits += [f"CASE WHEN regexp_matches({s}, {_q(p)}) THEN {_q(c)} END" for p, c in _alias_case()[len(TAIWAN) :]]
-    rows = ",".join(f"({i},{_q(a)},{_q(b)})" for i, (a, b) in enumerate(REGION_CASES))
     every = f"list_concat([{_canonical_place('token')}], {of('token')}, {of(s)}, [{','.join(hits)}])"
-    return f"SELECT case_id, array_to_string(list_sort(list_distinct(list_filter({every}, lambda x: x IS NOT NULL))), ',') AS places FROM (VALUES {rows}) t(case_id, token, body)"
+    return f"SELECT {key}, array_to_string(list_sort(list_distinct(list_filter({every}, lambda x: x IS NOT NULL))), ',') AS places FROM {rows}"
+
+
+_CASES = ",".join(f"({i},{_q(a)},{_q(b)})" for i, (a, b) in enumerate(REGION_CASES))
 
 
 _BATCH = "SELECT cluster_id, arg_min(id, published_at * 1000000000 + id) AS first_id, count(*) AS article_count, max(published_at) AS latest_published FROM articles"
@@ -121,13 +130,13 @@ ORACLE_SQL = {
     "copypaste_flags": _MET + " SELECT id, rule IS NOT NULL AS copypaste_flag, coalesce(rule, 'original') AS copypaste_rule FROM articles LEFT JOIN (SELECT id, rule FROM origins) USING (id)",
     "copypaste_origin": _MET + " SELECT id, oi AS origin_id, om AS origin_media, p - op AS delta_secs, hamming, round(jaccard, 3) AS jaccard FROM origins",
     "copypaste_matches_top5": _MET + " SELECT id, CAST(row_number() OVER w AS INTEGER) AS rank, oi AS match_id, hamming, round(jaccard, 3) AS jaccard FROM met WINDOW w AS (PARTITION BY id ORDER BY hamming, jaccard DESC, op, oi) QUALIFY row_number() OVER w <= 5",
-    "vec_norm": _VEC + " SELECT id, round(sqrt(list_dot_product(vec, vec)), 6) AS norm, sqrt(list_dot_product(vec, vec)) > 1e-8 AS live FROM vecs",
-    "centroid_mean": _VEC + " SELECT label, n, CAST(i - 1 AS INTEGER) AS pos, round(x, 6) AS x FROM comp",
-    "centroid_update": _VEC + " SELECT label, CAST(i - 1 AS INTEGER) AS pos, round(x, 6) AS x FROM comp",
+    "vec_norm": _ALLVEC + " SELECT id, round(sqrt(list_dot_product(vec, vec)), 6) AS norm, sqrt(list_dot_product(vec, vec)) > 1e-8 AS live FROM vecs",
+    "centroid_mean": _ALLVEC + " SELECT label, n, CAST(i - 1 AS INTEGER) AS pos, round(x, 6) AS x FROM comp",
+    "centroid_update": _ALLVEC + " SELECT label, CAST(i - 1 AS INTEGER) AS pos, round(x, 6) AS x FROM comp",
     "vec_cosine_pairs": _SIMS + " SELECT id, cluster_id, round(sim, 6) AS sim FROM sims",
-    "attach_topk": _SIMS + " SELECT id, cluster_id, round(sim, 6) AS sim, rank FROM ranked WHERE rank <= 5",
+    "attach_topk": _SIMS + " SELECT id, cluster_id, round(sim, 6) AS sim, rank FROM ranked WHERE rank <= 20",
     "attach_score": _SCORED + " SELECT id, cluster_id, round(sim, 6) AS sim, round(ent, 6) AS ent, round(place, 6) AS place, round(time, 6) AS time, round(score, 6) AS score FROM final",
-    "attach_decision": _SCORED + " SELECT id, CASE WHEN score >= 0.4 THEN cluster_id ELSE id END AS cluster_id, round(score, 6) AS score, score >= 0.4 AS attached_existing FROM (SELECT * FROM final QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, sim DESC, cluster_id) = 1)",
+    "attach_decision": _SCORED + " SELECT id, CASE WHEN score >= 0.74 THEN cluster_id ELSE id END AS cluster_id, round(score, 6) AS score, score >= 0.74 AS attached_existing FROM (SELECT * FROM final QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, sim DESC, cluster_id) = 1)",
     "topic_candidates": _TOPIC + " SELECT id, label, round(score, 6) AS score, rank FROM cand",
     "topic_decision": _TOPIC + " SELECT id, m AS main_topic, round(ms, 6) AS main_topic_score, CASE WHEN ss >= 0.28 THEN s END AS secondary_topic, CASE WHEN ss >= 0.28 THEN round(ss, 6) ELSE 0.0 END AS secondary_topic_score, ms < 0.3 OR (ss >= 0.28 AND ms - ss < 0.04) AS ambiguous FROM wide",
     "topic_counts": _TOPIC + " SELECT m AS topic, count(*) AS n FROM wide GROUP BY m",
@@ -145,23 +154,23 @@ ORACLE_SQL = {
       y AS (SELECT cluster_id, string_agg(place || ':' || n || ':MEDIA_NAME', ',' ORDER BY n DESC, at0, place) AS t FROM b GROUP BY cluster_id)
       SELECT cluster_id, coalesce(s, t, '台灣:0:DEFAULT_TAIWAN_IF_LOCAL') AS detail FROM (SELECT DISTINCT cluster_id FROM k) LEFT JOIN x USING (cluster_id) LEFT JOIN y USING (cluster_id)""",
     "place_canonicalize": f"SELECT case_id, raw, {_canonical_place('raw')} AS place FROM (VALUES {','.join(f'({i},{_q(x)})' for i, x in enumerate(PLACE_CASES))}) t(case_id, raw)",
-    "region_expand": _expanded(),
-    "media_region_join": _ART + " SELECT region, count(*) AS n FROM articles GROUP BY region",
+    "region_expand": _expanded(f"(VALUES {_CASES}) t(case_id, token, body)", "case_id"),
+    "media_region_join": _ART + f" SELECT {_list(o for o, _ in OUTLETS)}[{_NUMBER}] AS outlet, region, count(*) AS n FROM articles GROUP BY ALL",
     "cluster_places_left_join": _ART + ", b AS (SELECT cluster_id, min(region) AS p FROM articles WHERE cluster_id IS NOT NULL GROUP BY cluster_id) SELECT id, coalesce(p, region) AS place FROM articles LEFT JOIN b USING (cluster_id)",
     "cluster_first_max_count": _ART + f" {_BATCH} WHERE cluster_id IS NOT NULL GROUP BY cluster_id",
-    "cluster_merge_update": _ART + " SELECT cluster_id, count(*) AS article_count, max(published_at) AS latest_published FROM articles WHERE cluster_id IS NOT NULL AND (id % 2 = 1 OR cluster_id < 7) GROUP BY cluster_id",
-    "news_upsert": _ART + " SELECT id, CASE WHEN id % 5 = 0 THEN id % 13 ELSE cluster_id END AS cluster_id, CASE WHEN id % 2 = 0 THEN media_name END AS media_name FROM articles WHERE id % 2 = 0 OR id % 5 = 0",
+    "cluster_merge_update": _ART + " SELECT cluster_id, count(*) AS article_count, max(published_at) AS latest_published FROM articles WHERE cluster_id IS NOT NULL GROUP BY cluster_id",
+    "news_upsert": _ART + " SELECT id, CASE WHEN id % 5 = 0 OR id % 4 = 1 THEN id % 13 ELSE cluster_id END AS cluster_id, CASE WHEN id % 4 <> 1 THEN media_name END AS media_name FROM articles",
     "id_split_semi_anti": "SELECT count(*) AS n, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'existing' ELSE 'new' END AS part FROM documents GROUP BY part",
     "epoch_normalize": _ART + " SELECT id, CASE WHEN id % 3 = 2 THEN 0 ELSE published_at END AS secs FROM articles",
     "taipei_format": _ART + " SELECT id, strftime(make_timestamp((published_at + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') || '+0800' AS shown, strftime(make_timestamp(published_at * 1000000), '%m-%d %H:%M') AS short FROM articles",
     "clamp_future": _ART + f" SELECT id, CASE WHEN published_at + id * 3600 > {P.now + 86400} THEN {P.now} ELSE published_at + id * 3600 END AS secs FROM articles",
-    "snippet_clip": _ART + " SELECT id, CASE WHEN length(content) > 100 THEN substr(replace(content, chr(10), ' '), 1, 100) || '...' ELSE replace(coalesce(content, ''), chr(10), ' ') END AS snippet, CASE WHEN length(title) > 40 THEN substr(title, 1, 39) || '…' ELSE coalesce(title, '') END AS clipped FROM articles",
+    "snippet_clip": _ART + " SELECT id, CASE WHEN length(content) > 100 THEN substr(replace(content, chr(10), ' '), 1, 100) || '...' ELSE replace(coalesce(content, ''), chr(10), ' ') END AS snippet, CASE WHEN length(content) > 60 THEN substr(replace(content, chr(10), ' '), 1, 60) || '…' ELSE replace(coalesce(content, ''), chr(10), ' ') END AS short60, CASE WHEN length(content) > 120 THEN substr(replace(content, chr(10), ' '), 1, 120) || '…' ELSE replace(coalesce(content, ''), chr(10), ' ') END AS short120, CASE WHEN length(title) > 40 THEN substr(title, 1, 39) || '…' ELSE coalesce(title, '') END AS clipped FROM articles",
     "json_str": _ART + """ SELECT id, '["' || media_name || '","' || origin || '"]' AS j FROM articles""",
     "report_table": _ART + " SELECT coalesce(cluster_id, -1) AS cluster_id, published_at, id, CASE WHEN length(title) > 60 THEN substr(title, 1, 59) || '…' ELSE title END AS title, media_name FROM articles ORDER BY 1, 2 DESC, 3",
     "hover_places": _PLACE + """, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, at0, place) AS k, count(*) OVER (PARTITION BY id) AS total FROM pc)
-      SELECT id, string_agg('• ' || place || ', frequency: ' || n, '<br>' ORDER BY k) || CASE WHEN any_value(total) > 2 THEN '<br>+' || (any_value(total) - 2) || ' more' ELSE '' END AS hover FROM r WHERE k <= 2 GROUP BY id""",
+      SELECT id, string_agg('• ' || place || ', frequency: ' || n || ', place_source: ENTITIES', '<br>' ORDER BY k) || CASE WHEN any_value(total) > 6 THEN '<br>+' || (any_value(total) - 6) || ' more' ELSE '' END AS hover FROM r WHERE k <= 6 GROUP BY id""",
     "parse_entities": "SELECT * FROM (VALUES (0, 'A B', 'ORG', 3::BIGINT), (0, 'C', NULL, NULL), (1, 'D', 'GPE', NULL), (1, 'E', NULL, NULL), (2, 'F', NULL, NULL), (2, 'G', NULL, NULL), "
     + ", ".join(f"({i}, NULL, NULL, NULL)" for i in range(3, len(ENTITY_CASES))) + ") t(case_id, text, label, count)",
-    "job_manifest": _ART + " SELECT CAST(row_number() OVER (ORDER BY media_name) AS INTEGER) AS id, 'report/' || media_name AS visualisation_url, min(published_at) AS start_time, max(published_at) AS end_time FROM articles GROUP BY media_name",
+    "job_manifest": _ART + " SELECT CAST(row_number() OVER (ORDER BY media_name) AS INTEGER) AS id, 'report/' || media_name AS visualisation_url, min(published_at) AS start_time, max(published_at) AS end_time FROM articles GROUP BY media_name UNION ALL SELECT CAST(count(DISTINCT media_name) + 1 AS INTEGER), 'report/all', min(published_at), max(published_at) FROM articles",
     "writable_places": _PLACE + f" SELECT id, string_agg(place, ',' ORDER BY n DESC, at0, place) FILTER (place <> '台灣' AND place IN ({','.join(map(_q, WRITABLE))})) AS places FROM pc GROUP BY id",
 }

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
-from ..functions import jsons, places, text, times, vector
-from ..operators import attach, copypaste, entities, store, stories
+from ..functions import hover, jsons, places, text, times, vector
+from ..functions.normal import nfkc
+from ..operators import attach, copypaste, entities, online, store, stories
 from ..sources import scans
 
 P = Params()
@@ -18,10 +19,14 @@ def _articles(s: SparkSession, d: str) -> DataFrame:
     return scans.articles(s, d)
 
 
+def _stored_vectors(s: SparkSession, d: str) -> DataFrame:
+    """id, vec, label: all of the embeddings."""
+    return s.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), vector.as_double(F.col("embedding")).alias("vec"), "label")
+
+
 def _vectors(s: SparkSession, d: str) -> DataFrame:
     """id, vec, label, published_at, media_name of the articles that have a stored vector."""
-    e = s.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), vector.as_double(F.col("embedding")).alias("vec"), "label")
-    return e.join(_articles(s, d).select("id", "published_at", "media_name"), "id")
+    return _stored_vectors(s, d).join(_articles(s, d).select("id", "published_at", "media_name"), "id")
 
 
 def _topics(s: SparkSession, d: str) -> DataFrame:
@@ -35,7 +40,7 @@ def _entities(s: SparkSession, d: str) -> DataFrame:
 
 
 def _article_features(s: SparkSession, d: str) -> DataFrame:
-    ents = entities.clean(_entities(s, d)).groupBy("id").agg(F.collect_set("text").alias("ents"))
+    ents = entities.counts(_entities(s, d), ["id"]).groupBy("id").agg(F.collect_set("text").alias("ents"))
     return _vectors(s, d).join(ents, "id", "left").withColumn("places", F.array(scans.media_region(F.col("media_name"))))
 
 
@@ -43,7 +48,8 @@ def _cluster_features(s: SparkSession, d: str) -> DataFrame:
     """The stored clusters: one for each label."""
     v = _vectors(s, d)
     named = v.select("id", F.col("label").alias("cluster_id"))
-    tops = entities.top(entities.counts(_entities(s, d).join(named, "id"), ["cluster_id"]), ["cluster_id"])
+    counted = entities.counts(_entities(s, d), ["id"]).join(named, "id").groupBy("cluster_id", "text", "label").agg(F.sum("count").alias("count"))  # the same counts by article as above: made once
+    tops = entities.top(counted, ["cluster_id"])
     ents = tops.groupBy("cluster_id").agg(F.collect_set("text").alias("ents"))
     facts = v.groupBy(F.col("label").alias("cluster_id")).agg(F.max("published_at").alias("latest_published"), F.collect_set(scans.media_region(F.col("media_name"))).alias("places"))
     return vector.mean(v.withColumnRenamed("label", "cluster_id"), ["cluster_id"], "vec").drop("n").join(facts, "cluster_id").join(ents, "cluster_id", "left")
@@ -67,7 +73,7 @@ def recent_cluster_scan(s, d):
 
 
 def canonical_text(s, d):
-    c = text.canonical(F.col("content"))
+    c = text.canonical(nfkc(F.col("content")))
     return _articles(s, d).select("id", F.length(c).cast("long").alias("n"), F.md5(c.cast("binary")).alias("canon_md5"))
 
 
@@ -106,18 +112,18 @@ def copypaste_matches_top5(s, d):
 
 
 def vec_norm(s, d):
-    v = _vectors(s, d)
+    v = _stored_vectors(s, d)
     return v.select("id", F.round(vector.norm(F.col("vec")), 6).alias("norm"), vector.is_live(F.col("vec")).alias("live"))
 
 
 def centroid_mean(s, d):
-    c = vector.mean(_vectors(s, d), ["label"], "vec")
+    c = vector.mean(_stored_vectors(s, d), ["label"], "vec")
     return c.select("label", "n", F.posexplode("centroid").alias("pos", "x")).select("label", "n", "pos", F.round("x", 6).alias("x"))
 
 
 def centroid_update(s, d):
     """Stored centroids (articles of even ids) moved by a batch (odd ids), weighted by the numbers of articles."""
-    v = _vectors(s, d)
+    v = _stored_vectors(s, d)
     old = vector.mean(v.filter("id % 2 = 0"), ["label"], "vec", "c").withColumnsRenamed({"c": "old", "n": "n_old"})
     new = vector.mean(v.filter("id % 2 = 1"), ["label"], "vec", "c").withColumnsRenamed({"c": "new", "n": "n_new"})
     c = old.join(new, "label", "full_outer").select("label", store.weighted_centroid(F.col("old"), F.col("n_old"), F.col("new"), F.col("n_new")).alias("c"))
@@ -131,7 +137,7 @@ def vec_cosine_pairs(s, d):
 
 
 def attach_topk(s, d):
-    top = attach.top_clusters(_vectors(s, d), _cluster_features(s, d), Params(top_k_attach=5))
+    top = attach.top_clusters(_vectors(s, d), _cluster_features(s, d), P)
     return top.select("id", "cluster_id", F.round("sim", 6).alias("sim"), "rank")
 
 
@@ -147,7 +153,7 @@ def attach_score(s, d):
 
 def attach_decision(s, d):
     a, scored = _scored(s, d)
-    got = attach.decide(scored, a, Params(assign_thresh=0.40))
+    got = attach.decide(scored, a, P)
     return got.select("id", "cluster_id", F.round("score", 6).alias("score"), "attached_existing")
 
 
@@ -187,11 +193,20 @@ def entity_jaccard(s, d):
     return got.select("id", F.round(text.jaccard(F.col("x"), F.col("y")), 6).alias("jaccard"))
 
 
+#: Names that stand in for places in the text: every name of the gazetteer, counties as written in the news, and cities.
+NAMES = tuple(n for _, names in places.ALIASES for n in names) + ("台北市府", "臺中捷運", "新北市警", "桃園機場", "墾丁", "馬公", "馬祖", "北京", "紐約", "加州", "深圳", "某地", "無名鎮")
+
+
+def _raw_mentions(s, d):
+    """(id, pos, raw): entities with a place label; which name stands in for one follows from its text."""
+    e = _entities(s, d).filter(F.col("label").isin(*online.PLACE_LABELS))
+    at = F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("long") % len(NAMES)
+    return e.select("id", "pos", F.get(F.lit(list(NAMES)), at.cast("int")).alias("raw"))
+
+
 def _place_mentions(s, d):
-    """(id, pos, place): entities with a place label; the canonical place stands in by the name's length."""
-    e = _entities(s, d).filter(F.col("label").isin("GPE", "LOC"))
-    place = F.element_at(F.array(*map(F.lit, scans.REGIONS)), F.length("text") % 5 + 1)
-    return e.select("id", "pos", place.alias("place"))
+    """(id, pos, place): the mentions that the gazetteer knows."""
+    return places.canonicalized(_raw_mentions(s, d), "raw").filter("place is not null").select("id", "pos", "place")
 
 
 def article_places_detail(s, d):
@@ -231,8 +246,8 @@ def region_expand(s, d):
 
 
 def media_region_join(s, d):
-    media = _articles(s, d).select("media_name").distinct().select("media_name", scans.media_region(F.col("media_name")).alias("region"))
-    return _articles(s, d).join(attach.sized_broadcast(media), "media_name", "left").groupBy("region").agg(F.count("*").alias("n"))
+    own = _articles(s, d).select(scans.outlet(F.col("media_name")).alias("outlet"))
+    return own.join(scans.media(s), "outlet", "left").groupBy("outlet", "region").agg(F.count("*").alias("n"))
 
 
 def cluster_places_left_join(s, d):
@@ -247,15 +262,16 @@ def cluster_first_max_count(s, d):
 
 def cluster_merge_update(s, d):
     a = _articles(s, d).filter("cluster_id is not null")
-    base = store.batch_by_cluster(a.filter("id % 2 = 0 and cluster_id < 7"), "published_at").select("cluster_id", "article_count", "latest_published")
-    return store.merge_clusters(base, store.batch_by_cluster(a.filter("id % 2 = 1"), "published_at"))
+    stored = "id % 2 = 0 and cluster_id < 7"
+    base = store.batch_by_cluster(a.filter(stored), "published_at").select("cluster_id", "article_count", "latest_published")
+    return store.merge_clusters(base, store.batch_by_cluster(a.filter(f"not ({stored})"), "published_at"))
 
 
 def news_upsert(s, d):
-    """Articles of even ids stored; a patch sets the cluster of every fifth article."""
+    """Articles stored but for every fourth; a patch brings those and sets the cluster of every fifth."""
     a = _articles(s, d).select("id", "cluster_id", "media_name")
-    patch = a.filter("id % 5 = 0").select("id", (F.col("id") % 13).alias("cluster_id"), F.lit(None).cast("string").alias("media_name"))
-    return store.upsert(a.filter("id % 2 = 0"), patch, "id", ["cluster_id", "media_name"])
+    patch = a.filter("id % 5 = 0 or id % 4 = 1").select("id", (F.col("id") % 13).alias("cluster_id"), F.lit(None).cast("string").alias("media_name"))
+    return store.upsert(a.filter("id % 4 != 1"), patch, "id", ["cluster_id", "media_name"])
 
 
 def id_split_semi_anti(s, d):
@@ -282,7 +298,7 @@ def clamp_future(s, d):
 
 
 def snippet_clip(s, d):
-    return _articles(s, d).select("id", text.snippet(F.col("content")).alias("snippet"), text.clip(F.col("title"), 40).alias("clipped"))
+    return _articles(s, d).select("id", text.snippet(F.col("content")).alias("snippet"), text.snippet(F.col("content"), 60, "…").alias("short60"), text.snippet(F.col("content"), 120, "…").alias("short120"), text.clip(F.col("title"), 40).alias("clipped"))
 
 
 def json_str(s, d):
@@ -296,13 +312,16 @@ def report_table(s, d):
     return got.orderBy("cluster_id", F.desc("published_at"), "id")
 
 
+def _detail(s, d):
+    """(id, places_in_detail) of the articles that name a place, as the report shows it."""
+    got = places.place_detail(_place_mentions(s, d), ["id"], "place", "pos")
+    shown = F.transform("places_in_detail", lambda x: F.struct(x.place.alias("place"), x.frequency.alias("frequency"), F.lit("ENTITIES").alias("place_source")))
+    return got.select("id", shown.alias("places_in_detail"))
+
+
 def hover_places(s, d):
     """Up to six places of an article in lines, and how many more there are."""
-    got = places.place_detail(_place_mentions(s, d), ["id"], "place", "pos")
-    n = F.size("places_in_detail")
-    lines = F.transform(F.slice("places_in_detail", 1, 2), lambda x: F.concat(F.lit("• "), text.clip(x.place, 40), F.lit(", frequency: "), x.frequency.cast("string")))
-    more = F.when(n > 2, F.array(F.concat(F.lit("+"), (n - 2).cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>"))
-    return got.select("id", F.array_join(F.concat(lines, more), "<br>").alias("hover"))
+    return _detail(s, d).select("id", hover.places(F.col("places_in_detail")).alias("hover"))
 
 
 ENTITY_CASES = (
@@ -317,10 +336,14 @@ def parse_entities(s, d):
 
 
 def job_manifest(s, d):
-    """A job opened and closed for each outlet's articles."""
-    a = _articles(s, d).groupBy("media_name").agg(F.min("published_at").alias("start_time"), F.max("published_at").alias("end_time"))
+    """Closed jobs of the outlets, and one more that is opened and closed over all articles."""
+    ends = F.min("published_at").alias("start_time"), F.max("published_at").alias("end_time")
+    a = _articles(s, d).groupBy("media_name").agg(*ends)
     by = Window.orderBy("media_name")  # outlets are few: one row each
-    return a.select(F.row_number().over(by).alias("id"), F.concat(F.lit("report/"), "media_name").alias("visualisation_url"), "start_time", "end_time")
+    jobs = a.select(F.row_number().over(by).alias("id"), F.concat(F.lit("report/"), "media_name").alias("visualisation_url"), "start_time", "end_time")
+    first, last = _articles(s, d).agg(*ends).first()
+    jobs, job = store.new_job(s, jobs, first)
+    return store.finish_job(jobs, job, "report/all", last)
 
 
 def writable_places(s, d):
@@ -336,7 +359,7 @@ def online_clusters(s, d):
 def central_articles(s, d):
     v = _vectors(s, d)
     c = vector.mean(v, ["label"], "vec").drop("n")
-    m = v.join(attach.sized_broadcast(c), "label").select(F.col("label").alias("cluster_id"), "id", "vec", vector.cosine(F.col("vec"), F.col("centroid")).alias("sim"))
+    m = v.join(c, "label").select(F.col("label").alias("cluster_id"), "id", "vec", vector.cosine(F.col("vec"), F.col("centroid")).alias("sim"))
     return stories.central_articles(m)
 
 
@@ -384,7 +407,7 @@ def translate_chunks(s, d):
 
 
 def pca_2d(s, d):
-    return stories.pca_2d(_vectors(s, d))
+    return stories.pca_2d(_stored_vectors(s, d))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Params
 
-#: outlets' regions by the number of the source, modulo five.
-REGIONS = ("台灣", "香港", "中國", "美國", "歐盟")
+
+def load_pairs(name: str) -> tuple[tuple[str, str], ...]:
+    """The lines ``key: values`` of a table in ``data``, in order."""
+    lines = (Path(__file__).parent.parent / "data" / name).read_text("utf-8").splitlines()
+    return tuple(tuple(line.split(": ", 1)) for line in lines if line and not line.startswith("#"))
+
+
+#: (outlet, region), and (topic, description).
+OUTLETS = tuple((o, region) for region, outlets in load_pairs("media_regions.txt") for o in outlets.split())
+TOPICS = load_pairs("topics.txt")
 
 
 def published(doc_id: Column) -> Column:
@@ -26,8 +36,24 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outlet(c: Column) -> Column:
+    """The outlet that a numbered source stands for; null without a number."""
+    return F.get(F.array(*[F.lit(o) for o, _ in OUTLETS]), F.regexp_extract(c, r"(\d+)$", 1).try_cast("int") * 7 % len(OUTLETS))
+
+
+def media(spark: SparkSession) -> DataFrame:
+    """The outlets' dimension: outlet, region."""
+    return spark.createDataFrame(OUTLETS, "outlet string, region string")
+
+
+def topics(spark: SparkSession) -> DataFrame:
+    """The topics' dimension: pos, topic, description."""
+    return spark.createDataFrame([(i, *t) for i, t in enumerate(TOPICS)], "pos int, topic string, description string")
+
+
 def media_region(c: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, REGIONS)), (F.regexp_extract(c, r"(\d+)$", 1).try_cast("int") % 5) + 1)
+    """The region of a source's outlet, without a join."""
+    return F.get(F.array(*[F.lit(r) for _, r in OUTLETS]), F.regexp_extract(c, r"(\d+)$", 1).try_cast("int") * 7 % len(OUTLETS))
 
 
 def unclustered(rows: DataFrame, newest_first: bool = True, p: Params = Params()) -> DataFrame:
@@ -43,6 +69,12 @@ def recent(rows: DataFrame, newest_first: bool = True, p: Params = Params()) ->
     return rows.filter("content is not null and published_at is not null").orderBy(order, "id").limit(p.sample_size)
 
 
+def unclustered_english(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """The same for the bilingual job: oldest first, English content asked for (``content_en``), no title."""
+    fit = F.col("cluster_id").isNull() & F.col("content_en").isNotNull() & F.col("published_at").isNotNull()
+    return rows.filter(fit).orderBy(F.asc_nulls_last("published_at"), "id").limit(p.sample_size)
+
+
 def recent_clusters(clusters: DataFrame, p: Params = Params()) -> DataFrame:
     return clusters.filter(F.col("latest_published") >= p.now - p.cluster_history_days * 86_400)
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Params
 from ..operators.copypaste import flags
+from ..operators.online import ARTICLE, SCHEMA, Stories, run_rows
 from ..operators.stories import Leader
 
 _CORPUS = "id long, content string, media_name string, published_at long, origin string"
@@ -61,3 +62,23 @@ def cluster_arrivals(articles: DataFrame, shard: str, p: Params = Params()) -> D
     return articles.select("id", "vec", "published_at", F.col(shard).alias("shard")).groupBy("shard").applyInPandasWithState(
         run, "shard string, id long, cluster_id long, sim double, opened boolean", "leader binary", "append", "NoTimeout"
     )
+
+
+def attach_arrivals(articles: DataFrame, shard: str, topics: list[tuple[str, list[float]]] = (), p: Params = Params()) -> DataFrame:
+    """A stream of (shard, id, cluster_id, ...): ``operators.online`` with stories that outlive the batches.
+
+    ``articles``: a stream of what ``online_attach`` takes, ids long, the shard a string.
+    """
+    labels, vectors = [t for t, _ in topics], np.array([v for _, v in topics], float)
+    unit = vectors / np.sqrt((vectors * vectors).sum(1))[:, None] if len(vectors) else None
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        stories = pickle.loads(state.get[0]) if state.exists else Stories(p, labels, unit)
+        out = run_rows(stories, pd.concat(list(frames)))
+        state.update((pickle.dumps(stories),))
+        out.insert(0, "shard", key[0])
+        yield out
+
+    return articles.select(*ARTICLE, F.col(shard).alias("shard")).groupBy("shard").applyInPandasWithState(
+        run, f"shard string, id long, cluster_id long, {SCHEMA}", "stories binary", "append", "NoTimeout"
+    )
