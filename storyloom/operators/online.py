@@ -161,6 +161,11 @@ COLUMNS = ["id", "cluster_id", *[c.split()[0] for c in SCHEMA.split(", ") if " "
 ARTICLE = ("id", "vec", "ents", "places", "region", "published_at")
 
 
+def _whole(x, least: int) -> int:
+    """A number that may be null, which pandas has as NaN."""
+    return least if x is None or x != x else max(least, int(x))
+
+
 def _list(x) -> list:
     return [] if x is None else list(x)
 
@@ -168,7 +173,7 @@ def _list(x) -> list:
 def articles_of(rows: pd.DataFrame, newest_first: bool = False) -> Iterable[Article]:
     rows = rows.assign(published_at=rows["published_at"].fillna(0)).sort_values(["published_at", "id"], ascending=[not newest_first, True], kind="stable")
     for r in rows[list(ARTICLE)].itertuples(index=False):
-        ents = [(e["text"], e["label"], int(e["count"] or 0)) for e in _list(r.ents) if e["text"] is not None]
+        ents = [(e["text"], e["label"], _whole(e["count"], 0)) for e in _list(r.ents) if e["text"] is not None]
         yield Article(r.id, np.asarray(_list(r.vec), float), ents, [q for q in _list(r.places) if q is not None], r.region or None, int(r.published_at))
 
 
@@ -197,8 +202,8 @@ def online_attach(articles: DataFrame, shard: str, stored: DataFrame | None = No
     def run(rows: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
         state = Stories(p, labels, unit)
         for r in before.sort_values("cluster_id").itertuples(index=False):
-            counted = Counter({(e["text"], e["label"]): int(e["count"] or 0) for e in _list(r.top_entities) if e["text"] is not None})
-            state.load(Story(r.cluster_id, max(1, int(r.size or 1)), int(r.latest_published or 0), counted, loaded=tuple(_list(r.places_in_concern))), np.asarray(_list(r.centroid), float))
+            counted = Counter({(e["text"], e["label"]): _whole(e["count"], 0) for e in _list(r.top_entities) if e["text"] is not None})
+            state.load(Story(r.cluster_id, _whole(r.size, 1), _whole(r.latest_published, 0), counted, loaded=tuple(_list(r.places_in_concern))), np.asarray(_list(r.centroid), float))
         return run_rows(state, rows, newest_first)
 
     old = stored.select("cluster_id", "centroid", "size", "latest_published", "top_entities", "places_in_concern", shard)

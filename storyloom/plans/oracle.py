@@ -93,10 +93,11 @@ def _canonical_place(c: str) -> str:
     return f"CASE WHEN {s} IN ({','.join(map(_q, ALLOWED))}) THEN {s} {whens} END"
 
 
-_PLACE = _ENT + f""", raw AS (SELECT id, pos, {_list(NAMES)}[('0x' || substr(md5(text), 1, 8))::BIGINT % {len(NAMES)} + 1] AS raw FROM ent WHERE label IN ('GPE', 'LOC')),
+_PLACE0 = f""", raw AS (SELECT id, pos, {_list(NAMES)}[('0x' || substr(md5(text), 1, 8))::BIGINT % {len(NAMES)} + 1] AS raw FROM ent WHERE label IN ('GPE', 'LOC')),
  known AS (SELECT raw, {_canonical_place('raw')} AS place FROM (SELECT DISTINCT raw FROM raw)),
  mention AS (SELECT id, pos, place FROM raw JOIN known USING (raw) WHERE place IS NOT NULL),
  pc AS (SELECT id, place, count(*) AS n, min(pos) AS at0 FROM mention GROUP BY id, place)"""
+_PLACE = _ENT + _PLACE0
 
 
 def _expanded(rows: str, key: str) -> str:

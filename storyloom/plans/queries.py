@@ -370,7 +370,7 @@ def llm_json_repair(s, d):
     def mend(raw: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([jsons.repair(x) for x in raw], columns=list(jsons.FIELDS))
 
-    a = _articles(s, d).select("id", F.regexp_replace(F.substring("title", 1, 30), r'["\\{}\[\],\s]+', " ").alias("t"))
+    a = _articles(s, d).select("id", F.regexp_replace("title", r'["\\{}\[\],\s]+', " ").alias("t"))
     k = F.col("id") % 5
     body = F.concat(F.lit('{"headline": "'), "t", F.lit('", "summary": "s", "question": "q"}'))
     raw = F.when(k == 0, body).when(k == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(k == 2, F.replace(body, F.lit('"q"}'), F.lit('"q",}')))

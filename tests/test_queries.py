@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from storyloom.plans.oracle import ORACLE_SQL
-from storyloom.plans.queries import QUERIES
+from storyloom.plans import details, details_oracle, oracle, queries
+
+QUERIES, ORACLE_SQL = queries.QUERIES | details.QUERIES, oracle.ORACLE_SQL | details_oracle.ORACLE_SQL
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "documents embeddings labels pages benchmark conversations".split()
