@@ -1,9 +1,10 @@
 """Media columns: payloads as progressive JPEG, scans accumulated into coefficients, RGB tensors.
 
 ``encode_media`` writes bytes as the quantised coefficients of a three-component 4:2:0 progressive
-JPEG, 64 bytes a block: a DC scan and an AC scan with successive approximation (lowest bit left
-out) and a refinement scan of each, for each component. All quantiser steps are 1, so the
-coefficients and with them the bytes survive unchanged. ``decode_media`` is a decoder for
+JPEG, 64 bytes a block: for each component a DC scan and scans of two bands of AC coefficients with
+successive approximation (lowest bit left out), and a refinement scan of each. All quantiser steps are
+1, so the coefficients and with them the bytes survive unchanged. Each code table has one code, or two
+for DC, so that all codes of a scan have one length: no coefficient is zero, and there are no runs. ``decode_media`` is a decoder for
 progressive JPEG in general: it accumulates spectral-selection and successive-approximation scans
 into coefficient arrays, inverse-transforms them with numpy, upsamples the chroma and gives the RGB
 tensor. Runs of codes of equal length are decoded as arrays, all else code by code.
@@ -41,6 +42,8 @@ def _basis() -> np.ndarray:
 
 
 BASIS = _basis()
+#: Spectral selection: the bands of AC coefficients, each in scans of its own.
+BANDS = ((1, 5), (6, 63))
 #: Code tables: how many codes of each length, then the symbols.
 DC_TABLE = bytes([1, 1] + [0] * 14) + bytes([10, 9])
 AC_FIRST_TABLE = bytes([1] + [0] * 15) + bytes([0x07])
@@ -96,11 +99,14 @@ def encode_jpeg(payload: np.ndarray) -> bytes:
         code = np.where(diff < 0, diff + 1023, diff)  # one bit 0, then ten
         code[0] = 0b10 << 9 | diff[0]  # two bits, then nine
         out += [_scan_head(c, 0x00, 0, 0, 0, 1), _packed((code[:, None] >> eleven & 1).astype(np.uint8))]
-        out += [_scan_head(c, 0x00, 1, 63, 0, 1), np.ascontiguousarray(b[:, 1:] >> 1).tobytes()]
+        for first, last in BANDS:
+            out += [_scan_head(c, 0x00, first, last, 0, 1), np.ascontiguousarray(b[:, first : last + 1] >> 1).tobytes()]
         out += [_scan_head(c, 0x00, 0, 0, 1, 0), _packed((value & 1).astype(np.uint8))]
-        fine = np.zeros(b.shape, np.uint8)
-        fine[:, 1:] = b[:, 1:] & 1 ^ (b[:, 1:] < 128)
-        out += [_scan_head(c, 0x01, 1, 63, 1, 0), _packed(fine)]
+        for first, last in BANDS:
+            fine = np.zeros((len(b), last - first + 2), np.uint8)  # the code that ends the band, then a bit for each coefficient
+            band = b[:, first : last + 1]
+            fine[:, 1:] = band & 1 ^ (band < 128)
+            out += [_scan_head(c, 0x01, first, last, 1, 0), _packed(fine)]
     return b"".join([*out, b"\xff\xd9"])
 
 

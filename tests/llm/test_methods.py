@@ -487,3 +487,121 @@ def test_rgb_against_the_definition():
     frame = {"height": 13, "width": 11, "hm": 2, "vm": 2, "parts": {c + 1: {"h": h, "v": v, "cols": h, "rows": v, "coef": coef[c], "steps": steps} for c, (h, v) in enumerate(parts)}}
     want = plain_rgb(coef, steps.tolist(), [2, 1, 1], [2, 1, 1], 13, 11, parts)
     assert np.abs(media.to_rgb(frame).astype(int) - want).max() <= 1  # single precision may round the other way
+
+
+def entropy_coded(coef, al, restart):
+    """A grey progressive file of blocks in a row, written plainly: DC and two AC bands, first with ``al`` bits left out, then one
+    refinement after another; runs of zeros, of ended bands, and correction bits."""
+    n = len(coef)
+    sizes = [r << 4 | s for r in range(16) for s in range(11) if s or r in range(15) or r == 15]
+    code = {sym: f"{i:08b}" for i, sym in enumerate(dict.fromkeys(sizes))}  # every symbol has eight bits
+    table = bytes([0] * 7 + [len(code)] + [0] * 8) + bytes(code)
+    dc = bytes([0, 0, 0, 12] + [0] * 12) + bytes(range(12))
+    out = [b"\xff\xd8", media._segment(0xDB, b"\0" + b"\1" * 64), media._segment(0xC2, bytes([8, 0, 8, 8 * n >> 8, 8 * n & 255, 1, 1, 0x11, 0])), media._segment(0xC4, b"\0" + dc + b"\x10" + table)]
+    out += [media._segment(0xDD, bytes([0, restart]))] * bool(restart)
+    value = lambda v: "" if not v else f"{v if v > 0 else v + (1 << abs(v).bit_length()) - 1:0{abs(v).bit_length()}b}"
+
+    def scan(first, last, high, low, one):
+        done = b""
+        step = restart or n
+        for k in range(0, n, step):
+            bits = one(coef[k : k + step])
+            bits += "1" * (-len(bits) % 8)
+            data = bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
+            done += (bytes([0xFF, 0xD0 + (k // step - 1) % 8]) if k else b"") + data
+        out.append(media._segment(0xDA, bytes([1, 1, 0, first, last, high << 4 | low])) + done)
+
+    def dc_first(blocks):
+        bits, before = "", 0
+        for b in blocks:
+            d = (int(b[0]) >> al) - before
+            before += d
+            bits += f"{abs(d).bit_length():04b}" + value(d)
+        return bits
+
+    def ended(run):
+        bits = ""
+        while run:
+            r = min(14, run.bit_length() - 1)
+            bits += code[r << 4] + (f"{run - (1 << r):0{r}b}" if r else "")[: r or None]
+            run -= (1 << r) + (run - (1 << r) & (1 << r) - 1)
+        return bits
+
+    def ac_first(first, last):
+        def one(blocks):
+            bits, run = "", 0
+            for b in blocks:
+                v = [(abs(int(x)) >> al) * (1 if x > 0 else -1) for x in b[first : last + 1]]
+                if not any(v):
+                    run += 1
+                    continue
+                bits, run = bits + ended(run), 0
+                zeros = 0
+                for i, x in enumerate(v):
+                    if not x:
+                        if not any(v[i:]):
+                            run = 1
+                            break
+                        zeros += 1
+                        continue
+                    while zeros > 15:
+                        bits, zeros = bits + code[0xF0], zeros - 16
+                    bits, zeros = bits + code[zeros << 4 | abs(x).bit_length()] + value(x), 0
+            return bits + ended(run)
+
+        return one
+
+    def ac_refine(first, last, low):
+        def one(blocks):
+            bits, run, held = "", 0, ""
+            for b in blocks:
+                m = [abs(int(x)) >> low for x in b[first : last + 1]]
+                new = [i for i, x in enumerate(m) if x == 1]
+                zeros, own = 0, ""
+                for i, x in enumerate(m):
+                    if i > (new[-1] if new else -1):
+                        break
+                    if not x:
+                        zeros += 1
+                        if zeros == 16:  # sent with the corrections so far
+                            bits, run, held = bits + ended_with(run, held), 0, ""
+                            bits, zeros, own = bits + code[0xF0] + own, 0, ""
+                    elif x > 1:
+                        own += str(x & 1)
+                    else:
+                        bits, run, held = bits + ended_with(run, held), 0, ""
+                        bits += code[zeros << 4 | 1] + ("1" if b[first + i] > 0 else "0") + own
+                        zeros, own = 0, ""
+                begin = new[-1] + 1 if new else 0
+                if begin <= last - first:
+                    run += 1
+                    held += own + "".join(str(x & 1) for x in m[begin:] if x > 1)
+            return bits + ended_with(run, held)
+
+        return one
+
+    def ended_with(run, held):
+        return ended(run) + held if run else ""
+
+    scan(0, 0, 0, al, dc_first)
+    for band in ((1, 9), (10, 63)):
+        scan(*band, 0, al, ac_first(*band))
+    for low in range(al - 1, -1, -1):
+        scan(0, 0, low + 1, low, lambda blocks, low=low: "".join(str(int(b[0]) >> low & 1) for b in blocks))
+        for band in ((1, 9), (10, 63)):
+            scan(*band, low + 1, low, ac_refine(*band, low))
+    return b"".join([*out, b"\xff\xd9"])
+
+
+@pytest.mark.parametrize("al,restart", [(0, 0), (1, 0), (2, 0), (1, 3), (3, 4)])
+def test_runs_and_refinements_are_decoded(al, restart):
+    rng = np.random.default_rng(al)
+    coef = np.zeros((23, 64), np.int16)
+    for b in range(23):
+        if b % 4:
+            at = rng.choice(np.arange(1, 64), rng.integers(0, 12), replace=False)
+            coef[b, at] = rng.integers(-40, 41, len(at))
+        coef[b, 0] = rng.integers(-200, 200)
+    coef[7, 1:], coef[8, 1:] = 5, rng.integers(-1, 2, 63)
+    got = media.decode_coefficients(entropy_coded(coef, al, restart))["parts"][1]["coef"]
+    assert (got == coef).all()
