@@ -9,7 +9,9 @@ article meets as many rows as there are outlets in linked texts, never all copie
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -135,31 +137,78 @@ def bands(df: DataFrame, simhash: str = "simhash", count: int = 4) -> DataFrame:
     return df.select("*", F.posexplode(keys).alias("band", "bandkey"))
 
 
-def classes(articles: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """(articles with ``cls``, distinct canonical texts as (cls, canon, simhash, sketch)); rows without a SimHash are left out.
+#: Distinct texts that a bucket of evenly spread hashes may hold.
+BUCKET = 256
+
+
+def keys(n: int, radius: int, bucket: int = BUCKET) -> list[int]:
+    """Masks of 64-bit hashes; two hashes at ``radius`` or fewer differing bits agree on one at least.
 
-    A class is named by the smallest id of its articles. The distinct texts with their hashes are kept
-    (in memory, else on disk; lost parts are made again), as every later step reads them.
+    The bits are cut into radius + m parts, and every choice of m parts is a mask: whichever bits
+    differ, m parts hold none of them. m is the least for which n evenly spread hashes leave ``bucket``
+    or fewer in one bucket, up to 6.
     """
+    for m in range(1, 7):
+        parts = [sum(1 << b for b in range(64) if b * (radius + m) // 64 == k) for k in range(radius + m)]
+        if n >> (64 // (radius + m)) * m <= bucket or m == 6:
+            return [sum(c) for c in combinations(parts, m)]
+    return []
+
+
+def hashed(articles: DataFrame, p: Params = Params()) -> DataFrame:
+    """articles, less their content, with canon, simhash and sketch; each distinct canonical text is hashed once.
+
+    Texts too short for a SimHash, and those whose SimHash is 0, are left out.
+    """
+    own = articles.withColumn("canon", canonical(F.col("content"))).drop("content").filter(F.length("canon") >= p.zh_dup_ngram)
+    texts = with_simhash(own.select("canon").distinct(), "canon", p.zh_dup_ngram, refine_n=p.zh_dup_refine_n).filter("simhash != 0")
+    return own.join(texts, "canon")
+
+
+def named(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``hashed`` with ``cls``, distinct canonical texts as (cls, canon, simhash, sketch)); a class is named by its smallest id."""
+    texts = rows.groupBy("canon").agg(F.min("id").alias("cls"), F.first("simhash").alias("simhash"), F.first("sketch").alias("sketch"))
+    return rows.drop("simhash", "sketch").join(texts.select("canon", "cls"), "canon").drop("canon"), texts
+
+
+def classes(articles: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """The same of articles. The distinct texts with their hashes are kept (in memory, else on disk; lost parts are made
+    again), as every later step reads them; those kept for earlier calls are let go."""
     own = articles.withColumn("canon", canonical(F.col("content")))
     texts = own.filter(F.length("canon") >= p.zh_dup_ngram).groupBy("canon").agg(F.min("id").alias("cls"))
-    hashed = with_simhash(texts.repartition("cls"), "canon", p.zh_dup_ngram, refine_n=p.zh_dup_refine_n).filter("simhash != 0").persist()
-    return own.drop("content").join(hashed.select("canon", "cls"), "canon").drop("canon"), hashed
+    made = with_simhash(texts.repartition("cls"), "canon", p.zh_dup_ngram, refine_n=p.zh_dup_refine_n).filter("simhash != 0").persist()
+    _kept.append(made)
+    while len(_kept) > KEPT_CALLS:
+        _kept.popleft().unpersist()
+    return own.drop("content").join(made.select("canon", "cls"), "canon").drop("canon"), made
+
+
+#: Calls of ``classes`` whose hashes are kept at a time.
+KEPT_CALLS = 2
+_kept: deque[DataFrame] = deque()
 
 
-def linked_classes(texts: DataFrame, p: Params = Params()) -> DataFrame:
-    """(a, b, hamming, jaccard) of distinct texts that are near copies, both ways, and each long enough text with itself."""
-    banded = bands(texts.select("cls", "simhash"))
-    x = banded.select(F.col("cls").alias("a"), F.col("simhash").alias("ha"), "band", "bandkey")
-    y = banded.select(F.col("cls").alias("b"), F.col("simhash").alias("hb"), "band", "bandkey")
+def linked_classes(texts: DataFrame, p: Params = Params(), asked: DataFrame | None = None) -> DataFrame:
+    """(a, b, hamming, jaccard) of distinct texts that are near copies, both ways, and each long enough text with itself.
+
+    ``asked``: classes (cls) of which one at least must be in a pair; all if None. Hashes meet in
+    buckets by ``keys``, whose length grows with the number of texts, so that a bucket holds few texts
+    that are not alike.
+    """
+    masks = keys(texts.count(), p.zh_dup_max_hamming)
+    table = F.posexplode(F.array(*[F.col("simhash").bitwiseAND(F.lit(m - (m >> 63 << 64))) for m in masks])).alias("t", "key")
+    y = texts.select(F.col("cls").alias("b"), F.col("simhash").alias("hb"), table)
+    mine = texts if asked is None else texts.join(asked.select("cls").distinct(), "cls", "left_semi")
+    x = mine.select(F.col("cls").alias("a"), F.col("simhash").alias("ha"), table)
     hamming = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
-    near = x.join(y, ["band", "bandkey"]).filter((F.col("a") < F.col("b")) & (hamming <= p.zh_dup_max_hamming)).select("a", "b", hamming.alias("hamming")).distinct()
+    apart = F.col("a") < F.col("b") if asked is None else F.col("a") != F.col("b")
+    near = x.join(y, ["t", "key"]).filter(apart & (hamming <= p.zh_dup_max_hamming)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), hamming.alias("hamming")).distinct()
     for side in ("a", "b"):
         near = near.join(texts.select(F.col("cls").alias(side), F.col("sketch").alias(f"s{side}")), side)
     near = near.filter(jaccard_bound("sa", "sb") >= p.zh_dup_min_j).drop("sa", "sb")
     near = near.join(texts.select(F.col("cls").alias("a"), F.col("canon").alias("ca")), "a").join(texts.select(F.col("cls").alias("b"), F.col("canon").alias("cb")), "b")
     near = near.withColumn("jaccard", gram_jaccard("ca", "cb", p.zh_dup_refine_n)).filter(F.col("jaccard") >= p.zh_dup_min_j).select("a", "b", "hamming", "jaccard")
-    own = texts.filter(F.length("canon") >= 2 * p.zh_dup_refine_n).select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.lit(0).alias("hamming"), F.lit(1.0).alias("jaccard"))
+    own = mine.filter(F.length("canon") >= 2 * p.zh_dup_refine_n).select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.lit(0).alias("hamming"), F.lit(1.0).alias("jaccard"))
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "hamming", "jaccard")).unionByName(own)
 
 
@@ -171,10 +220,15 @@ def flags(articles: DataFrame, p: Params = Params()) -> DataFrame:
     and the article's own origin is not native, if it is within that window.
     """
     own, texts = classes(articles, p)
-    links = linked_classes(texts, p)
+    return flagged(articles.select("id", "published_at", "origin"), own, linked_classes(texts, p), p)
+
+
+def flagged(asked: DataFrame, own: DataFrame, links: DataFrame, p: Params = Params()) -> DataFrame:
+    """The flags of the articles ``asked`` (id, published_at, origin), from the articles ``own`` with their classes, and the classes' links."""
     outlets = own.filter((F.col("published_at") > 0) & (F.col("media_name") != "")).groupBy("cls", "media_name").agg(F.min(F.struct("published_at", "id")).alias("first"))
     seen = links.join(outlets.withColumnRenamed("cls", "b"), "b").select("a", "hamming", "jaccard", F.col("media_name").alias("om"), F.col("first.published_at").alias("op"), F.col("first.id").alias("oi"))
-    met = own.select("id", "cls", "media_name", "published_at", "origin").join(seen.withColumnRenamed("a", "cls"), "cls").filter(F.col("om") != F.coalesce("media_name", F.lit("")))
+    mine = own.join(asked.select("id"), "id", "left_semi").select("id", "cls", "media_name", "published_at")
+    met = mine.join(seen.withColumnRenamed("a", "cls"), "cls").filter(F.col("om") != F.coalesce("media_name", F.lit("")))
     early = F.col("op") <= F.col("published_at") - p.zh_dup_tie_secs
     tie = ~early & (F.col("op") <= F.col("published_at") + p.zh_dup_tie_secs)
     facts = F.struct(F.col("oi").alias("id"), F.col("om").alias("media"), F.col("op").alias("published"), "hamming", "jaccard")
@@ -182,7 +236,7 @@ def flags(articles: DataFrame, p: Params = Params()) -> DataFrame:
         F.min_by(F.when(early, facts), F.when(early, F.struct("op", "hamming", -F.col("jaccard"), "oi"))).alias("e"),
         F.min_by(F.when(tie, facts), F.when(tie, F.struct("hamming", -F.col("jaccard"), "op", "oi"))).alias("t"),
     )
-    out = articles.select("id", "published_at", "origin").join(best, "id", "left")
+    out = asked.select("id", "published_at", "origin").join(best, "id", "left")
     rule = F.when(F.col("e").isNotNull(), "earlier_cross_outlet").when(F.col("t").isNotNull() & ~is_native(F.col("origin")), "tie_origin_not_native").otherwise("original")
     out = out.withColumn("copypaste_rule", rule)
     chosen = F.when(F.col("copypaste_rule") == "earlier_cross_outlet", F.col("e")).when(F.col("copypaste_rule") == "tie_origin_not_native", F.col("t"))

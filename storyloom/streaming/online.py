@@ -12,27 +12,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Params
-from ..operators.copypaste import flags
+from ..operators.copypaste import flagged, hashed, linked_classes, named
 from ..operators.online import ARTICLE, SCHEMA, Stories, run_rows
 from ..operators.stories import Leader
 
 _CORPUS = "id long, content string, media_name string, published_at long, origin string"
+_HASHED = "id long, media_name string, published_at long, origin string, canon string, simhash long, sketch binary"
 
 
 def flag_arrivals(articles: DataFrame, folder: str, p: Params = Params(), available_now: bool = True) -> StreamingQuery:
     """Flags each micro-batch of a stream against all articles before it and its own; writes folder/flags.
 
-    The articles themselves are kept in folder/corpus for the batches to come. Both are written by
+    What is kept of an article in folder/corpus is its canonical text with its hashes, so a batch makes
+    hashes of its own articles only, and looks only for links of theirs. Both folders are written by
     batch number, so a batch that runs again after a failure replaces what it had written.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        own = f"{folder}/corpus/batch={number}"
-        batch.select([c.split()[0] for c in _CORPUS.split(", ")]).write.mode("overwrite").parquet(own)
-        seen = spark.read.schema(_CORPUS + ", batch long").option("basePath", f"{folder}/corpus").parquet(f"{folder}/corpus").filter(F.col("batch") <= number)
-        arrived = seen.filter(F.col("batch") == number).select("id")
-        flags(seen.drop("batch"), p).join(arrived, "id", "left_semi").write.mode("overwrite").parquet(f"{folder}/flags/batch={number}")
+        rows = batch.select([c.split()[0] for c in _CORPUS.split(", ")])
+        hashed(rows, p).select([c.split()[0] for c in _HASHED.split(", ")]).write.mode("overwrite").parquet(f"{folder}/corpus/batch={number}")
+        seen = spark.read.schema(_HASHED + ", batch long").option("basePath", f"{folder}/corpus").parquet(f"{folder}/corpus").filter(F.col("batch") <= number)
+        own, texts = named(seen)
+        links = linked_classes(texts, p, own.filter(F.col("batch") == number))
+        flagged(rows.select("id", "published_at", "origin"), own, links, p).write.mode("overwrite").parquet(f"{folder}/flags/batch={number}")
 
     writer = articles.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

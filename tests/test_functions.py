@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from storyloom.functions import jsons, places, text, times, vector
+from storyloom.operators import copypaste
 from storyloom.operators.copypaste import HASHES, simhash
 
 
@@ -56,6 +57,16 @@ def test_bands_lose_no_pair_within_three_bits(x, flipped):
     assert any(x >> 16 * k & 65535 == y >> 16 * k & 65535 for k in range(4))
 
 
+@given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=3), st.sampled_from([1, 10**5, 10**8, 10**12]))
+def test_keys_lose_no_pair_within_three_bits(x, flipped, n):
+    y = x
+    for b in flipped:
+        y ^= 1 << b
+    masks = copypaste.keys(n, 3)
+    assert any(x & m == y & m for m in masks)
+    assert n == 10**12 or n / 2 ** min(m.bit_count() for m in masks) <= copypaste.BUCKET
+
+
 def test_chunks():
     assert text.chunk_by_chars("") == []
     assert text.chunk_by_chars("甲。乙。", 3) == ["甲。", "乙。"]
