@@ -7,11 +7,10 @@ import unicodedata
 from collections.abc import Sequence
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .normal import nfkc
-
 #: The places that are written as they are.
 ALLOWED = (
     "台北市 新北市 桃園市 台中市 台南市 高雄市 基隆市 新竹市 嘉義市 宜蘭縣 花蓮縣 台東縣 南投縣 彰化縣 雲林縣 屏東縣 苗栗縣 新竹縣 嘉義縣 "
@@ -72,6 +71,8 @@ KEYWORDS = (
     ("恆春半島|小墾丁", "屏東縣"), ("花東|花東縱谷", "花蓮縣"), ("大台北|北北基", "台北市"),
 )
 
+_KNOWN = frozenset(ALLOWED)
+
 
 def squeezed(c: Column) -> Column:
     """Without any white space."""
@@ -97,12 +98,26 @@ def canonical_place(c: Column, aliases: Aliases = ALIASES) -> Column:
     return F.coalesce(F.when(s.isin(*ALLOWED), s), *[F.when(s.rlike(p), place) for p, place in rules(aliases)])
 
 
+def place_of(name: str | None, tried: Sequence[tuple[re.Pattern, str]]) -> str | None:
+    """The same of one name, by compiled rules."""
+    s = re.sub(r"\s+", "", unicodedata.normalize("NFKC", name or ""))
+    return s if s in _KNOWN else next((place for rx, place in tried if rx.search(s)), None)
+
+
 def canonicalized(df: DataFrame, column: str, name: str = "place", aliases: Aliases = ALIASES) -> DataFrame:
     """df with the place of each value of ``column``, brought to compatibility normal form; null where no rule fits.
 
-    Rules are tried once for each distinct value. Nulls have no place.
+    Rules are tried once for each distinct value, in Arrow batches: as one expression they would be too
+    long to be compiled. Nulls have no place.
     """
-    found = df.select(column).distinct().withColumn(name, canonical_place(nfkc(F.col(column)), aliases))
+    found_by = rules(aliases)
+
+    @F.pandas_udf("string")
+    def of(names: pd.Series) -> pd.Series:
+        tried = [(re.compile(p), place) for p, place in found_by]
+        return names.map(lambda n: place_of(n, tried))
+
+    found = df.select(column).distinct().withColumn(name, of(column))
     return df.join(found.filter(F.col(name).isNotNull()), column, "left")
 
 
