@@ -9,7 +9,6 @@ article meets as many rows as there are outlets in linked texts, never all copie
 from __future__ import annotations
 
 import hashlib
-from collections import deque
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -173,21 +172,14 @@ def named(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def classes(articles: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """The same of articles. The distinct texts with their hashes are kept (in memory, else on disk; lost parts are made
-    again), as every later step reads them; those kept for earlier calls are let go."""
+    again), as every later step reads them, and so are later calls over the same articles; ``spark.catalog.clearCache()``
+    lets them go."""
     own = articles.withColumn("canon", canonical(F.col("content")))
     texts = own.filter(F.length("canon") >= p.zh_dup_ngram).groupBy("canon").agg(F.min("id").alias("cls"))
     made = with_simhash(texts.repartition("cls"), "canon", p.zh_dup_ngram, refine_n=p.zh_dup_refine_n).filter("simhash != 0").persist()
-    _kept.append(made)
-    while len(_kept) > KEPT_CALLS:
-        _kept.popleft().unpersist()
     return own.drop("content").join(made.select("canon", "cls"), "canon").drop("canon"), made
 
 
-#: Calls of ``classes`` whose hashes are kept at a time.
-KEPT_CALLS = 2
-_kept: deque[DataFrame] = deque()
-
-
 def linked_classes(texts: DataFrame, p: Params = Params(), asked: DataFrame | None = None) -> DataFrame:
     """(a, b, hamming, jaccard) of distinct texts that are near copies, both ways, and each long enough text with itself.
 
