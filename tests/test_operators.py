@@ -41,6 +41,39 @@ def test_copypaste_of_many_copies(spark):
         assert [r.match_id for r in sorted((r for r in top if r.id == i), key=lambda r: r.rank)] == [j for _, j in by_text[body] if j != i][:5]
 
 
+def test_links_across_strata_and_blocks(spark, monkeypatch):
+    """Texts of one vocabulary have near hashes whatever their sizes; links are those of all pairs, and only pairs that sketches let pass are verified."""
+    monkeypatch.setattr(copypaste, "ROWS", 16)
+    monkeypatch.setattr(copypaste, "CHARS", 4000)
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcde中"), 4)) for _ in range(12)]
+    body = [list(rng.choice(words, int(rng.integers(5, 90)))) for _ in range(30)]
+    for k in range(70):
+        made = list(body[k % 30])
+        made[int(rng.integers(len(made)))] = "xy" * (k % 3)
+        body.append(made)
+    texts = sorted({"".join(b) for b in body} | {"a" * 10, "a" * 11, "abc"})
+    rows = [(i, t, "m", 1, "x") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, content string, media_name string, published_at long, origin string")
+    p = Params(zh_dup_min_j=0.8, zh_dup_max_hamming=6)
+    own, made = copypaste.classes(df, p)
+    got = {(r.a, r.b): (r.hamming, round(r.jaccard, 9)) for r in copypaste.linked_classes(made, p).collect() if r.a < r.b}
+    h = [copypaste.simhash(t, 3, {}) for t in texts]
+    g = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    want = {}
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            d, j = ((h[a] ^ h[b]) & (1 << 64) - 1).bit_count(), len(g[a] & g[b]) / max(1, len(g[a] | g[b]))
+            if d <= 6 and j >= 0.8 and min(len(texts[a]), len(texts[b])) >= 10:
+                want[a, b] = (d, round(j, 9))
+    assert got == want and len(want) > 20
+    asked = own.filter("id % 10 = 0")
+    some = {(r.a, r.b) for r in copypaste.linked_classes(made, p, asked).collect() if r.a < r.b}
+    assert some == {x for x in want if x[0] % 10 == 0 or x[1] % 10 == 0}
+    rare = "".join(map(chr, range(0x4E00, 0x9F00)))  # more characters than five of them fit one number
+    assert [copypaste.shared(*copypaste.gram_sets([rare, rare[:100] + "a"], 5)), len(copypaste.gram_sets([rare], 5)[0])] == [96, len(rare) - 4]
+
+
 def test_empty_inputs(spark):
     df = spark.createDataFrame([], "id long, content string, media_name string, published_at long, origin string")
     assert copypaste.flags(df).count() == 0
