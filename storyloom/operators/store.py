@@ -7,7 +7,7 @@ allowed everywhere.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
@@ -71,23 +71,34 @@ def merge_cluster_facts(base: DataFrame, batch: DataFrame, k: int = 10) -> DataF
     not null. Places outside the writable ones are dropped, and a list without any is null.
     """
     old, new = ({c: F.col(f"{side}.{c}") for c in ("article_count", "latest_published", "centroid", "top_entities", *SAID)} for side in ("o", "n"))
+    one = lambda side: F.when(F.col("cluster_id").isNull(), side).otherwise(-1).alias("t_")  # noqa: E731 -- rows without a key stay apart
+    base, batch = base.select("*", one(0)), batch.select("*", one(1))
     joined = base.alias("o").join(batch.alias("n"), F.col("o.cluster_id") == F.col("n.cluster_id"), "full_outer")
     zero = F.lit(0).cast("bigint")
     n_old, n_new = F.coalesce(old["article_count"], zero), F.coalesce(new["article_count"], zero)
-    none = F.array().cast("array<struct<text:string,label:string,count:bigint>>")
-    both = F.concat(F.coalesce(old["top_entities"], none), F.coalesce(new["top_entities"], none))
-    names = F.array_distinct(F.transform(both, lambda e: F.struct(e.text.alias("text"), e.label.alias("label"))))
-    of = lambda x: F.aggregate(F.filter(both, lambda e: e.text.eqNullSafe(x.text) & e.label.eqNullSafe(x.label)), zero, lambda s, e: s + F.coalesce(e["count"], zero))
-    ranked = F.array_sort(F.transform(names, lambda x: F.struct((-of(x)).alias("o"), x.text.alias("text"), x.label.alias("label"))))
-    kept = F.transform(F.slice(ranked, 1, k), lambda x: F.struct(x.text.alias("text"), x.label.alias("label"), (-x.o).alias("count")))
     topic = {c: F.when(new["main_topic"].isNotNull(), new[c]).otherwise(old[c]) for c in SAID[:4]}
     said = {"ambiguous": F.coalesce(new["ambiguous"], old["ambiguous"]), "places_in_concern": F.coalesce(writable_places(new["places_in_concern"]), old["places_in_concern"]), "places_in_detail": F.coalesce(writable_detail(new["places_in_detail"]), old["places_in_detail"])}
-    return joined.select(
-        F.coalesce("o.cluster_id", "n.cluster_id").alias("cluster_id"), (n_old + n_new).alias("article_count"),
+    merged = joined.select(
+        F.coalesce("o.t_", "n.t_").alias("t_"), F.coalesce("o.cluster_id", "n.cluster_id").alias("cluster_id"), (n_old + n_new).alias("article_count"),
         F.greatest(F.coalesce(old["latest_published"], zero), F.coalesce(new["latest_published"], zero)).alias("latest_published"),
-        weighted_centroid(old["centroid"], n_old, new["centroid"], n_new).alias("centroid"), kept.alias("top_entities"),
+        weighted_centroid(old["centroid"], n_old, new["centroid"], n_new).alias("centroid"),
         *[x.alias(c) for c, x in (topic | said).items()],
     )
+    none = F.array().cast("array<struct<text:string,label:string,count:bigint>>")
+    tops = top_of(base.select("cluster_id", "t_", "top_entities").unionByName(batch.select("cluster_id", "t_", "top_entities")).select("cluster_id", "t_", F.explode("top_entities").alias("e")).select("cluster_id", "t_", "e.text", "e.label", F.col("e.count").alias("count")), k).toDF("c_", "u_", "top_entities")
+    out = merged.join(tops, F.col("cluster_id").eqNullSafe(F.col("c_")) & (F.col("t_") == F.col("u_")), "left").withColumn("top_entities", F.coalesce("top_entities", none))
+    return out.select("cluster_id", "article_count", "latest_published", "centroid", "top_entities", *SAID)
+
+
+def top_of(counted: DataFrame, k: int) -> DataFrame:
+    """(cluster_id, t_, top_entities) of rows cluster_id, t_, text, label, count: counts added, the k most frequent, then by text and label.
+
+    By sums and ranks of rows, so that a cluster's list of names, however long, is never searched for each of them.
+    """
+    summed = counted.groupBy("cluster_id", "t_", "text", "label").agg(F.sum(F.coalesce(F.col("count"), F.lit(0).cast("bigint"))).alias("count"))
+    by = Window.partitionBy("cluster_id", "t_").orderBy(F.desc("count"), F.asc_nulls_last("text"), F.asc_nulls_last("label"))
+    best = summed.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= k)
+    return best.groupBy("cluster_id", "t_").agg(F.array_sort(F.collect_list(F.struct("r", "text", "label", "count"))).alias("x")).select("cluster_id", "t_", F.transform("x", lambda e: F.struct(e.text.alias("text"), e.label.alias("label"), e["count"].alias("count"))).alias("top_entities"))
 
 
 def weighted_centroid(old: Column, n: Column, mean: Column, m: Column) -> Column:

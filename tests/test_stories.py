@@ -223,3 +223,15 @@ def test_merges_with_odd_rows(spark):
     assert [tuple(e) for e in r.top_entities] == [("a", "ORG", 6), ("b", None, 5)] and r.places_in_concern == ["日本"] and [tuple(x) for x in r.places_in_detail] == [("香港", 2, "y")]
     assert (got[2].article_count, got[2].latest_published) == (0, 0) and (got[3].article_count, got[3].main_topic) == (1, "n")
     assert store.merge_cluster_facts(old.filter("false"), new.filter("false")).count() == 0
+
+
+def test_merge_of_long_entity_lists(spark):
+    """Lists of 20,000 names are summed up by rows: searching the list for each of its names took 400 million steps."""
+    n = 20_000
+    kind = "article_count long, latest_published long, centroid array<double>, main_topic string, main_topic_score double, secondary_topic string, secondary_topic_score double, ambiguous boolean, places_in_concern array<string>, places_in_detail array<struct<place:string,frequency:bigint,place_source:string>>"
+    rest = (1, 1, [1.0], None, None, None, None, None, None, None)
+    old, new = (spark.createDataFrame([(1, *rest), (None, *rest)], f"cluster_id long, {kind}").crossJoin(spark.range(n).selectExpr(f"collect_list(struct(concat('e', id) as text, 'ORG' as label, {c} as count)) as top_entities")) for c in ("id", "20000 - id + if(id = 7, 5, 0)"))
+    plan = store.merge_cluster_facts(old, new, k=2)
+    assert "array_distinct" not in plan.select("top_entities")._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(((r.cluster_id is None, [(e["text"], e["count"]) for e in r.top_entities]) for r in plan.collect()), key=repr)
+    assert got == [(False, [("e7", 20005), ("e0", 20000)]), (True, [("e0", 20000), ("e1", 19999)]), (True, [("e19999", 19999), ("e19998", 19998)])]
