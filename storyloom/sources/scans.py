@@ -21,6 +21,10 @@ OUTLETS = tuple((o, region) for region, outlets in load_pairs("media_regions.txt
 TOPICS = load_pairs("topics.txt")
 
 
+#: Articles of an Arrow batch: texts can be long, and a Python worker holds a batch with all that is made of it.
+BATCH_ROWS = 512
+
+
 def published(doc_id: Column) -> Column:
     """A date for documents that have none: a fixed formula of the id, within 30 days."""
     return (F.lit(1704067200) + (doc_id * 7919) % 2592000).cast("bigint")
@@ -28,6 +32,7 @@ def published(doc_id: Column) -> Column:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, title, content, media_name, published_at, origin, cluster_id (null: not clustered) of the documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     origin = F.when(F.col("doc_id") % 7 == 0, "native").when(F.col("doc_id") % 7 == 1, " Original ").otherwise(F.col("source"))
     return d.select(

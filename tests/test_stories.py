@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from storyloom.sources import scans
 from storyloom.config import Params
 from storyloom.functions import hover, jsons, places, text, times, vector
 from storyloom.operators import attach, models, online, store
@@ -235,3 +236,9 @@ def test_merge_of_long_entity_lists(spark):
     assert "array_distinct" not in plan.select("top_entities")._jdf.queryExecution().optimizedPlan().toString()
     got = sorted(((r.cluster_id is None, [(e["text"], e["count"]) for e in r.top_entities]) for r in plan.collect()), key=repr)
     assert got == [(False, [("e7", 20005), ("e0", 20000)]), (True, [("e0", 20000), ("e1", 19999)]), (True, [("e19999", 19999), ("e19998", 19998)])]
+
+
+def test_batches_of_articles_are_small(spark, tmp_path):
+    spark.range(3000).selectExpr("id as doc_id", "'t' as text", "'en' as lang", "'s1' as source", "1L as n_chars").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    size = F.pandas_udf(lambda t: t.map(lambda _: len(t)), "long", F.PandasUDFType.SCALAR)
+    assert scans.articles(spark, str(tmp_path)).select(size("content").alias("n")).agg(F.max("n")).first()[0] <= scans.BATCH_ROWS
