@@ -26,14 +26,18 @@ _BOILERPLATE_RX = re.compile(_BOILERPLATE, re.MULTILINE)
 
 def canonical(c: Column) -> Column:
     """Lower case, without boilerplate lines; CJK, digits and a-z only. For text in normal form already."""
-    s = F.coalesce(c, F.lit(""))
-    s = F.when(s.rlike(_BEGINS), F.regexp_replace(s, "(?mdU)" + _BOILERPLATE, "")).otherwise(s)
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(letters)
 
-    return of(s)
+    return of(without_boilerplate(c))
+
+
+def without_boilerplate(c: Column) -> Column:
+    """Null is empty."""
+    s = F.coalesce(c, F.lit(""))
+    return F.when(s.rlike(_BEGINS), F.regexp_replace(s, "(?mdU)" + _BOILERPLATE, "")).otherwise(s)
 
 
 def letters(s: str) -> str:

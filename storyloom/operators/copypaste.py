@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -43,6 +43,9 @@ def simhash(text: str, n: int, bits_of: dict[str, np.ndarray], hash_name: str =
     """
     if len(text) < n:
         return 0
+    code = direct_grams(text, n)
+    if code is not None:
+        return _signed(_votes(code, n, hash_name))
     function, width = HASHES[hash_name]
     cp = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
     key = np.zeros(len(cp) - n + 1, np.int64)
@@ -62,7 +65,55 @@ def simhash(text: str, n: int, bits_of: dict[str, np.ndarray], hash_name: str =
         bits_of[-1] = table
         bits_of.update(zip(new, range(at, at + len(new))))
         rows = list(map(bits_of.get, grams))
-    votes = counts.astype(np.float64) @ bits_of[-1][rows].astype(np.float64)  # whole numbers under 2^53
+    return _signed(counts.astype(np.float64) @ bits_of[-1][rows].astype(np.float64))  # whole numbers under 2^53
+
+
+#: The signs of canonical texts other than CJK, numbered (255: no such sign). Their 1- to 3-grams have a table with a row for each.
+_SIGNS = b"0123456789abcdefghijklmnopqrstuvwxyz"
+_RANK = np.full(256, 255, np.uint8)
+_RANK[np.frombuffer(_SIGNS, np.uint8)] = np.arange(36, dtype=np.uint8)
+_TABLES: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def direct_grams(text: str, n: int) -> np.ndarray | None:
+    """The n-grams of a text in order as numbers to base 36; None if it holds other signs, or n is above 3."""
+    if n > 3 or not text.isascii():
+        return None
+    rank = _RANK[np.frombuffer(text.encode(), np.uint8)]
+    if (rank == 255).any():
+        return None
+    code, m = np.zeros(max(0, len(rank) - n + 1), np.int32), max(0, len(rank) - n + 1)
+    for k in range(n):
+        code = code * 36 + rank[k : k + m]
+    return code
+
+
+def gram_text(code: int, n: int) -> str:
+    return "".join(chr(_SIGNS[code // 36 ** (n - 1 - k) % 36]) for k in range(n))
+
+
+def _votes(code: np.ndarray, n: int, hash_name: str) -> np.ndarray:
+    """Votes for each bit of numbered grams. What a gram votes is worked out once in a Python worker; the table is of fixed size."""
+    function, width = HASHES[hash_name]
+    if (n, hash_name) not in _TABLES:
+        _TABLES[n, hash_name] = np.zeros((36**n, width), np.float32), np.zeros(36**n, bool)
+    table, known = _TABLES[n, hash_name]
+    if len(code) > 36**n // 8:
+        counts = np.bincount(code, minlength=36**n)
+        grams = np.flatnonzero(counts)
+        counts = counts[grams]
+    else:
+        grams, counts = np.unique(code, return_counts=True)
+    new = grams[~known[grams]]
+    if len(new):
+        hashes = np.array([function(gram_text(g, n)) for g in new.tolist()], np.uint64)
+        table[new] = ((hashes[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) * 2 - 1
+        known[new] = True
+    exact = np.float32 if len(code) < 1 << 24 else np.float64  # sums stay whole numbers
+    return counts.astype(exact) @ table[grams].astype(exact, copy=False)
+
+
+def _signed(votes: np.ndarray) -> int:
     out = sum(1 << i for i in np.flatnonzero(votes >= 0).tolist())
     return out - (1 << 64) if out >> 63 else out
 
@@ -94,6 +145,28 @@ def with_simhash(df: DataFrame, canon: str, n: int = 3, hash_name: str = "md5",
     return df.withColumn("s_", of(canon)).select("*", "s_.simhash", "s_.sketch").drop("s_")
 
 
+def hashes(articles: DataFrame, content: Column, form: Callable[[str | None], str], n: int = 3, hash_name: str = "md5") -> DataFrame:
+    """(id, key, simhash) of every article: the SHA-256 of ``form(content)`` and its SimHash, 0 if it is too short.
+
+    Articles are hashed where they are read, one text at a time; no text is sent on, or kept.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
+        for b in batches:
+            keys, got = [], []
+            for t in b.column(1):
+                t = form(t.as_py())
+                if len(known) > 500_000:
+                    known.clear()
+                keys.append(hashlib.sha256(t.encode()).digest())
+                got.append(simhash(t, n, known, hash_name))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(got, pa.int64())], names=["id", "key", "simhash"])
+
+    kind = articles.schema["id"].dataType.simpleString()
+    return articles.select("id", content.alias("c")).mapInArrow(run, f"id {kind}, key binary, simhash long")
+
+
 def canonical_udf(convert=None):
     """The canonical form with compatibility normalisation; ``convert``: simplified to traditional, if there is one."""
 
