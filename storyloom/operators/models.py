@@ -10,6 +10,7 @@ Null and empty texts get what each function says; repeated rows are worked on ea
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -28,13 +29,52 @@ Tagger = Callable[[Sequence[str]], Sequence[Sequence[tuple[str, str]]]]
 WIDTH = 64
 
 
+#: By (n, d), what n-grams of Latin-1 vote (a dimension + 1, negative for a vote against; 0 while it is not known), and others by their text.
+_VOTES: dict[tuple[int, int], tuple[np.ndarray, dict[str, int]]] = {}
+#: Of the others, so many are kept in a Python worker.
+KEPT = 300_000
+
+
+def _vote(gram: str, d: int) -> int:
+    h = int.from_bytes(hashlib.blake2b(gram.encode(), digest_size=8).digest(), "little")
+    return h % d + 1 if h >> 63 else -(h % d + 1)
+
+
 def hashed_ngrams(texts: Sequence[str], n: int = 3, d: int = WIDTH) -> np.ndarray:
-    """Stand-in for an encoder: signed counts of hashed character n-grams, of length 1; zeros for a text without any."""
+    """Stand-in for an encoder: signed counts of hashed character n-grams, of length 1; zeros for a text without any.
+
+    Grams are hashed once in a Python worker, not wherever they occur.
+    """
+    direct = n <= 3 and d < 1 << 14
+    if (n, d) not in _VOTES:
+        _VOTES[n, d] = np.zeros(256**n if direct else 0, np.int16), {}
+    table, kept = _VOTES[n, d]
     out = np.zeros((len(texts), d))
     for i, t in enumerate(texts):
-        for k in range(len(t) - n + 1):
-            h = int.from_bytes(hashlib.blake2b(t[k : k + n].encode(), digest_size=8).digest(), "little")
-            out[i, h % d] += 1 if h >> 63 else -1
+        if len(t) < n:
+            continue
+        try:
+            raw = t.encode("latin-1") if direct else None
+        except UnicodeEncodeError:
+            raw = None
+        if raw is not None:
+            cp = np.frombuffer(raw, np.uint8).astype(np.int32)
+            code = np.zeros(len(cp) - n + 1, np.int32)
+            for k in range(n):
+                code = code << 8 | cp[k : len(cp) - n + 1 + k]
+            votes = table[code]
+            if not votes.all():
+                for c in np.unique(code[votes == 0]).tolist():
+                    table[c] = _vote("".join(chr(c >> 8 * (n - 1 - k) & 255) for k in range(n)), d)
+                votes = table[code]
+            at = np.bincount(np.where(votes > 0, votes - 1, d - 1 - votes), minlength=2 * d)
+            out[i] = at[:d] - at[d:]
+        else:
+            if len(kept) > KEPT:
+                kept.clear()
+            for g, count in Counter(t[k : k + n] for k in range(len(t) - n + 1)).items():
+                v = kept.get(g) or kept.setdefault(g, _vote(g, d))
+                out[i, abs(v) - 1] += count if v > 0 else -count
     return out / np.maximum(np.sqrt((out * out).sum(1)), 1e-12)[:, None]
 
 
