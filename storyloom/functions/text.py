@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +67,62 @@ def char_ngrams(df: DataFrame, column: str, n: int, name: str = "grams") -> Data
     return df.withColumn("chars_", chars).withColumn(name, made).drop("chars_")
 
 
+#: The signs of canonical texts other than CJK, numbered (255: no such sign). Their 1- to 3-grams have a table with a row for each.
+_SIGNS = b"0123456789abcdefghijklmnopqrstuvwxyz"
+_RANK = np.full(256, 255, np.uint8)
+_RANK[np.frombuffer(_SIGNS, np.uint8)] = np.arange(36, dtype=np.uint8)
+
+
+def direct_grams(text: str, n: int) -> np.ndarray | None:
+    """The n-grams of a text in order as numbers to base 36; None if it holds other signs, or n is above 3."""
+    if n > 3 or not text.isascii():
+        return None
+    rank = _RANK[np.frombuffer(text.encode(), np.uint8)]
+    if (rank == 255).any():
+        return None
+    code, m = np.zeros(max(0, len(rank) - n + 1), np.int32), max(0, len(rank) - n + 1)
+    for k in range(n):
+        code = code * 36 + rank[k : k + m]
+    return code
+
+
+def gram_text(code: int, n: int) -> str:
+    return "".join(chr(_SIGNS[code // 36 ** (n - 1 - k) % 36]) for k in range(n))
+
+
+#: Grams of other signs that a task counts before it sends the counts on.
+HELD = 200_000
+
+
+def ngram_counts(df: DataFrame, column: str, n: int, form: Callable[[str | None], str] = lambda t: t or "") -> DataFrame:
+    """(gram, n): how often each n-gram occurs in ``form`` of a text column, repeats included.
+
+    Grams are counted within tasks, so that none but their counts are shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, other = np.zeros(36**n if n <= 3 else 0, np.int64), Counter()
+        for b in batches:
+            for t in b.column(0):
+                t = form(t.as_py())
+                code = direct_grams(t, n)
+                if code is None:
+                    other.update(t[k : k + n] for k in range(len(t) - n + 1))
+                elif len(code) > len(table) // 8:
+                    table += np.bincount(code, minlength=len(table))
+                else:
+                    grams, counts = np.unique(code, return_counts=True)
+                    table[grams] += counts
+                if len(other) > HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(other)), pa.array(list(other.values()), pa.int64())], names=["gram", "n"])
+                    other.clear()
+        seen = np.flatnonzero(table)
+        grams = [gram_text(c, n) for c in seen.tolist()] + list(other)
+        yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array([*table[seen].tolist(), *other.values()], pa.int64())], names=["gram", "n"])
+
+    return df.select(column).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def is_native(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c)).isin(*NATIVE), F.lit(False))
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
-from ..functions.text import canonical, canonical_text, is_native
+from ..functions.text import canonical, canonical_text, direct_grams, gram_text, is_native
 
 
 def _md5_60(gram: str) -> int:
@@ -68,30 +68,9 @@ def simhash(text: str, n: int, bits_of: dict[str, np.ndarray], hash_name: str =
     return _signed(counts.astype(np.float64) @ bits_of[-1][rows].astype(np.float64))  # whole numbers under 2^53
 
 
-#: The signs of canonical texts other than CJK, numbered (255: no such sign). Their 1- to 3-grams have a table with a row for each.
-_SIGNS = b"0123456789abcdefghijklmnopqrstuvwxyz"
-_RANK = np.full(256, 255, np.uint8)
-_RANK[np.frombuffer(_SIGNS, np.uint8)] = np.arange(36, dtype=np.uint8)
 _TABLES: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def direct_grams(text: str, n: int) -> np.ndarray | None:
-    """The n-grams of a text in order as numbers to base 36; None if it holds other signs, or n is above 3."""
-    if n > 3 or not text.isascii():
-        return None
-    rank = _RANK[np.frombuffer(text.encode(), np.uint8)]
-    if (rank == 255).any():
-        return None
-    code, m = np.zeros(max(0, len(rank) - n + 1), np.int32), max(0, len(rank) - n + 1)
-    for k in range(n):
-        code = code * 36 + rank[k : k + m]
-    return code
-
-
-def gram_text(code: int, n: int) -> str:
-    return "".join(chr(_SIGNS[code // 36 ** (n - 1 - k) % 36]) for k in range(n))
-
-
 def _votes(code: np.ndarray, n: int, hash_name: str) -> np.ndarray:
     """Votes for each bit of numbered grams. What a gram votes is worked out once in a Python worker; the table is of fixed size."""
     function, width = HASHES[hash_name]
