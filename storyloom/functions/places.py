@@ -137,6 +137,18 @@ def expanded_places(tokens: Column, text: Column, aliases: Aliases = ALIASES) ->
     return F.array_sort(F.array_distinct(every))
 
 
+def expanded_mentions(mentions: DataFrame, names: DataFrame, aliases: Aliases = ALIASES) -> DataFrame:
+    """(id, places): ``expanded_places`` of the first mention as token and all mentions, a comma apart, as text.
+
+    ``mentions``: id, raw, pos; ``names``: each raw once. No rule fits across a comma, and none of a text asks for its
+    end, so the places of the text are those of its names: rules are tried once for each name.
+    """
+    none = F.array().cast("array<string>")
+    known = names.select("raw", expanded_places(none, F.col("raw"), aliases).alias("x"), expanded_places(F.array("raw"), F.lit(""), aliases).alias("y"))
+    got = mentions.join(F.broadcast(known), "raw", "left").groupBy("id").agg(F.flatten(F.collect_set("x")).alias("x"), F.min_by("y", "pos").alias("y"))
+    return got.select("id", F.array_sort(F.array_distinct(F.concat("x", F.coalesce("y", none)))).alias("places"))
+
+
 def place_detail(df: DataFrame, keys: list[str], place: str, seen: str) -> DataFrame:
     """One row for each key: places_in_detail (place, frequency), the most frequent first, then the first seen."""
     counted = df.filter(F.col(place).isNotNull()).groupBy(*keys, place).agg(F.count("*").alias("frequency"), F.min(seen).alias("at"))
